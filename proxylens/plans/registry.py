@@ -1,0 +1,4 @@
+"""All queries over the given tables, by name."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
