@@ -23,6 +23,7 @@ WINDOW, GRAM = 10, 5
 #: Most rows that are broadcast of: fingerprints, item words, matched texts.
 MOST_PRINTS, MOST_ITEMS, MOST_TEXTS = 1_000_000, 50_000, 1_000_000
 LOW32 = (1 << 32) - 1
+NO_PRINTS = "cast(array() as array<struct<hash:bigint,pos:int>>)"
 
 
 def split_words(text: Column) -> Column:
@@ -53,7 +54,7 @@ def fingerprints(words: Column, gram: int, window: int) -> Column:
     def prints(w: Column) -> Column:
         return let(hashes(w), lambda h: F.transform(winnowed(h), lambda p: F.struct(F.get(h, p).alias("hash"), p.alias("pos"))))
 
-    return let(words, lambda w: F.when(F.size(w) >= window, prints(w)).otherwise(F.expr("cast(array() as array<struct<hash:bigint,pos:int>>)")))
+    return let(words, lambda w: F.when(F.size(w) >= window, prints(w)).otherwise(F.expr(NO_PRINTS)))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -69,7 +70,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = [(WINDOW, GRAM), *((n, n) for n in sorted(short))]
 
     def prints(df: DataFrame, keys: list[str], words: str, only_own: bool) -> DataFrame:
-        each = F.concat(*[F.transform(F.when(F.col("length") == n, fingerprints(F.col(words), g, n)).otherwise(F.expr("cast(array() as array<struct<hash:bigint,pos:int>>)")) if only_own else fingerprints(F.col(words), g, n), lambda p, n=n: F.struct(F.lit(n).alias("length"), p["hash"].alias("hash"), p["pos"].alias("pos"))) for n, g in lengths])
+        def of(n: int, g: int) -> Column:
+            found = fingerprints(F.col(words), g, n)
+            found = F.when(F.col("length") == n, found).otherwise(F.expr(NO_PRINTS)) if only_own else found
+            return F.transform(found, lambda p: F.struct(F.lit(n).alias("length"), p["hash"].alias("hash"), p["pos"].alias("pos")))
+
+        each = F.concat(*[of(n, g) for n, g in lengths])
         return df.select(*keys, F.explode(each).alias("p")).select(*keys, "p.*")
 
     tests = prints(items, ["item", "item_words"], "item_words", True).select("item", "length", "hash", F.col("pos").alias("item_pos"))
