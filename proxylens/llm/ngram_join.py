@@ -192,9 +192,29 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     return saved(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(_verify, "a long, b long"), "ngram-links")
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the links of a partition, as many as join the same nodes."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = top(a), top(b)
+            parent[max(a, b)] = min(a, b)
+    ends = [(x, top(x)) for x in parent if top(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in ends], pa.int64()), pa.array([r for _, r in ends], pa.int64())], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """node, root for every node of a link, root the least of its component: alternating star operations."""
-    edges = saved(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "ngram-edges")
+    """node, root for every node of a link, root the least of its component.
+
+    Each partition first boils its links down to a forest; alternating star operations join the forests.
+    """
+    edges = saved(links.select("a", "b").mapInArrow(_forest, "a long, b long").distinct(), "ngram-edges")
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.shiftright(F.xxhash64("a", "b"), 16))).first()
@@ -245,8 +265,8 @@ def unresolved(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFr
     return pruned(pairs, texts).union(crossed).distinct()
 
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """texts (see distinct_texts), roots (node, root of texts with links) and the links that were found."""
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """texts (see distinct_texts) and roots (node, root of texts with links)."""
     texts = distinct_texts(docs)
     members = band_members(texts)
     stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
@@ -254,9 +274,10 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     roots = components(links)
     crossing = saved(unresolved(members, roots, texts), "ngram-crossing")
     if not crossing.isEmpty():
-        links = saved(links.union(verified(crossing, texts, docs)).distinct(), "ngram-links")
-        roots = components(links)
-    return texts, roots, links
+        links = verified(crossing, texts, docs)
+        known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(known.union(links))
+    return texts, roots
 
 
 def _count_blocks(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -301,7 +322,7 @@ def link_counts(texts: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFram
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_copies (documents with equal text, itself included), n_links (other documents that are similar or equal)."""
-    texts, roots, _ = classes(docs)
+    texts, roots = classes(docs)
     counts = link_counts(texts, roots, docs)
     placed = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = placed.groupBy("root").agg(F.min("min_doc").alias("class_id"))
@@ -312,7 +333,7 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each class, the one whose id is the class id; columns as they came."""
-    texts, roots, _ = classes(docs)
+    texts, roots = classes(docs)
     placed = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = placed.groupBy("root").agg(F.min(F.struct(F.col("min_doc").isNull(), "min_doc", "node"))["node"].alias("kept"))
     rulings = placed.join(kept, "root").where((F.col("node") != F.col("kept")) | (F.col("n_docs") > 1))
