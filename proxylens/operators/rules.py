@@ -57,7 +57,7 @@ def rule_candidates(sigs: DataFrame, rules: DataFrame) -> DataFrame:
     met = hosts.join(F.broadcast(lookup), "key").where(~F.col("whole") | (F.col("key") == F.regexp_replace("norm_host", ":[0-9]+$", "")))
     template = F.lower("norm_path_template")
     by_path = F.exists("path_prefix", lambda p: template.startswith(F.lower(F.regexp_replace(p, "\\*$", ""))))
-    by_regex = F.exists("url_regex", lambda r: F.expr("concat(norm_host, norm_path_template)").rlike(F.concat(F.lit("(?i)"), r)))
+    by_regex = F.exists("url_regex", lambda r: F.regexp_like(F.concat("norm_host", "norm_path_template"), F.concat(F.lit("(?i)"), r)))
     has_path, has_regex = F.size("path_prefix") > 0, F.size("url_regex") > 0
     reason = F.when(has_path & by_path, F.when(F.col("whole"), "host+path_exact").otherwise("host+path_suffix")).when(~has_path & has_regex & by_regex, "host+path_regex").when(~has_path & ~has_regex, F.when(F.col("whole"), "host_exact").otherwise("host_suffix"))
     rest = met.withColumn("match_reason", reason).where(F.col("match_reason").isNotNull()).withColumn("tier", F.when(F.col("match_reason").startswith("host+"), 2).otherwise(3))
