@@ -7,8 +7,8 @@ below `TOLERANCE`; the others are verified exactly on their whole n-gram sets.
 
 Candidates come in two rounds, so that a group of near copies costs no square of its size in rows. First
 every member of a band's bucket meets the bucket's first member; the links found give components. Then
-the pairs of a bucket that lie in different components are compared: as rows in small buckets, and block
-against block inside tasks in larger ones, which hand out only pairs that survive the pruning. With
+the pairs of a bucket that lie in different components are compared, block against block inside tasks,
+which hand out only pairs that survive the pruning. With
 BANDS bands of ROWS values a pair at the threshold misses all buckets with probability 6e-7, more
 similar ones less. Classes are the components of the verified links.
 
@@ -38,8 +38,8 @@ from proxylens.llm.common import broadcast_if_small, saved, ship_package
 N, THRESHOLD, TOLERANCE = 5, Fraction(4, 5), 1e-7
 BANDS, ROWS = 36, 5
 HASHES, STEP = BANDS * ROWS, 30
-#: Buckets of more members are compared by blocks; members of a block.
-SMALL, BLOCK = 24, 256
+#: Members of a block; larger buckets and classes are compared block against block.
+BLOCK = 256
 #: Most rows of a table of digests that is broadcast.
 MOST_DIGESTS = 1_000_000
 ODD = np.random.default_rng(11).integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -232,37 +232,64 @@ def components(links: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def _cross_blocks(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block with another (or itself) that lie in different components and survive."""
-    lo, hi = pdf[pdf["block"] == key[1]], pdf[pdf["block"] == key[2]]
-    sigs = [np.frombuffer(b"".join(x["sig"]), np.uint16).reshape(-1, HASHES) for x in (lo, hi)]
-    roots, sizes, nodes = ([x[c].to_numpy() for x in (lo, hi)] for c in ("root", "size", "node"))
-    i, j = np.nonzero(roots[0][:, None] != roots[1][None, :])
-    small, large = np.minimum(sizes[0][i], sizes[1][j]).astype(np.int64), np.maximum(sizes[0][i], sizes[1][j]).astype(np.int64)
-    fits = (small * THRESHOLD.denominator >= large * THRESHOLD.numerator) & ((key[1] != key[2]) | (i < j))
+def _cross(block_lo, block_hi, same: bool) -> list[tuple[int, int]]:
+    """Surviving pairs of two blocks (node, root, size, signature arrays), or of one with itself, that lie in different components."""
+    (n0, r0, s0, g0), (n1, r1, s1, g1) = block_lo, block_hi
+    i, j = np.nonzero(r0[:, None] != r1[None, :])
+    small, large = np.minimum(s0[i], s1[j]), np.maximum(s0[i], s1[j])
+    fits = small * THRESHOLD.denominator >= large * THRESHOLD.numerator
+    if same:
+        fits &= i < j
     i, j = i[fits], j[fits]
-    kept = []
+    out = []
     for at in range(0, len(i), 20_000):
-        kept.append(at + surviving(sigs[0][i[at : at + 20_000]], sigs[1][j[at : at + 20_000]]))
-    kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-    a, b = nodes[0][i[kept]], nodes[1][j[kept]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        kept = at + surviving(g0[i[at : at + 20_000]], g1[j[at : at + 20_000]])
+        a, b = n0[i[kept]], n1[j[kept]]
+        out += zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)
+    return out
+
+
+def _cross_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key, lo, hi: each group holds the members of one block or two."""
+    held: list[pa.RecordBatch] = []
+
+    def pairs() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        node, root, size, block = (rows.column(c).to_numpy() for c in ("node", "root", "size", "block"))
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+        lo, hi = held[0].column("lo")[0].as_py(), held[0].column("hi")[0].as_py()
+        sides = [(node[block == k], root[block == k], size[block == k].astype(np.int64), sig[block == k]) for k in (lo, hi)]
+        found = _cross(*sides, lo == hi)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "lo", "hi")], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            group = tuple(keys[lo].tolist())
+            if held and group != last:
+                yield from pairs()
+                held.clear()
+            held.append(batch.slice(lo, hi - lo))
+            last = group
+    if held:
+        yield from pairs()
 
 
 def unresolved(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """Surviving pairs (a, b) of different components that share a bucket and have not met."""
+    """Surviving pairs (a, b) of different components that share a bucket. Members are dealt out by pairs of blocks; pairs are formed inside tasks only."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where(F.col("r0") != F.col("r1")).select("key")
-    still = saved(placed.join(open_keys, "key").where(F.col("members") > 2), "ngram-open")
-    few = still.where(F.col("members") <= SMALL)
-    sides = [few.where("node != leader").select("key", F.col("node").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"]
-    pairs = sides[0].join(sides[1], "key").where("a < b and root_a != root_b").select("a", "b").distinct()
-    many = still.where(F.col("members") > SMALL).join(texts.select("node", "size", "sig"), "node")
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
+    # two members have met already: one leads the bucket
+    still = saved(placed.where(F.col("members") > 2).join(open_keys, "key").select("key", "node", "root", "members"), "ngram-open")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    many = many.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    many = many.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "size", "sig")
-    crossed = many.groupBy("key", "lo", "hi").applyInPandas(_cross_blocks, "a long, b long").distinct()
-    return pruned(pairs, texts).union(crossed).distinct()
+    dealt = still.join(texts.select("node", "size", "sig"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "size", "sig")
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_cross_groups, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -76,7 +76,6 @@ def test_edges(spark):
 def test_large_buckets_are_compared_by_blocks(spark, monkeypatch):
     base = [f"b{i}" for i in range(60)]
     texts = [" ".join([*base, *(f"t{k}x{i}" for i in range(k % 12))]) for k in range(90)]
-    monkeypatch.setattr(ngram_join, "SMALL", 3)
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     check(spark, spark.createDataFrame([Row(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA))
 
