@@ -7,8 +7,8 @@ below `TOLERANCE`; the others are verified exactly on their whole n-gram sets.
 
 Candidates come in two rounds, so that a group of near copies costs no square of its size in rows. First
 every member of a band's bucket meets the bucket's first member; the links found give components. Then
-the pairs of a bucket that lie in different components are compared, block against block inside tasks,
-which hand out only pairs that survive the pruning. With
+the pairs of a bucket that lie in different components are pruned and verified, block against block inside
+tasks, which hand out no more links than join the same texts. With
 BANDS bands of ROWS values a pair at the threshold misses all buckets with probability 6e-7, more
 similar ones less. Classes are the components of the verified links.
 
@@ -134,13 +134,16 @@ def similar(both: int, a: int, b: int) -> bool:
     return both * THRESHOLD.denominator >= THRESHOLD.numerator * (a + b - both)
 
 
+def similar_sets(x: np.ndarray, y: np.ndarray) -> bool:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return similar(int((both[1:] == both[:-1]).sum()), len(x), len(y))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = []
         for i, (x, y) in enumerate(zip(batch.column("grams_a"), batch.column("grams_b"), strict=True)):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            if similar(int((both[1:] == both[:-1]).sum()), len(x), len(y)):
+            if similar_sets(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)):
                 kept.append(i)
         yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
@@ -157,9 +160,9 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def band_members(texts: DataFrame) -> DataFrame:
-    """key, node, leader for the buckets of two or more texts."""
+    """key, band, node, leader, members for the buckets of two or more texts."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.substring(F.col("sig"), j * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-    bands = texts.where(F.col("size") > 0).select("node", F.explode(keys).alias("key"))
+    bands = texts.where(F.col("size") > 0).select("node", F.posexplode(keys).alias("band", "key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where(F.col("members") > 1)
     return saved(bands.join(shared, "key"), "ngram-members")
 
@@ -169,10 +172,23 @@ def close_sizes(a: str, b: str):
     return F.least(a, b) * THRESHOLD.denominator >= F.greatest(a, b) * THRESHOLD.numerator
 
 
+def with_facts(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """pairs (a, b), a table, with the facts (node, ...) of both as *_a and *_b. A text in many pairs is dealt out in copies, one for BLOCK pairs."""
+    out = pairs
+    for side, other in ("ab", "ba"):
+        hot = saved(pairs.groupBy(side).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("copies")).where(F.col("copies") > 1), "ngram-hot")
+        hot = broadcast_if_small(hot, MOST_DIGESTS)
+        own = facts.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in facts.columns if c != "node"])
+        own = own.join(hot, side, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
+        out = out.join(hot, side, "left").withColumn("copy", F.coalesce(F.pmod(F.xxhash64(other), F.col("copies")), F.lit(0)).cast("int")).drop("copies")
+        out = out.join(own, [side, "copy"]).drop("copy")
+    return out
+
+
 def pruned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of candidates that survive the comparison of their signatures."""
-    sides = [texts.select(F.col("node").alias(s), F.col("size").alias(f"size_{s}"), F.col("sig").alias(f"sig_{s}")) for s in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").where(close_sizes("size_a", "size_b")).select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a long, b long")
+    """The pairs (a, b) of candidates, a table, that survive the comparison of their signatures."""
+    both = with_facts(pairs, texts.select("node", "size", "sig"))
+    return both.where(close_sizes("size_a", "size_b")).select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a long, b long")
 
 
 def gram_sets(nodes: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
@@ -188,8 +204,7 @@ def verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = saved(pairs, "ngram-pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = gram_sets(nodes, texts, docs)
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
-    return saved(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(_verify, "a long, b long"), "ngram-links")
+    return saved(with_facts(pairs, saved(sets, "ngram-sets")).select("a", "b", "grams_a", "grams_b").mapInArrow(_verify, "a long, b long"), "ngram-links")
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,9 +247,19 @@ def components(links: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def _cross(block_lo, block_hi, same: bool) -> list[tuple[int, int]]:
-    """Surviving pairs of two blocks (node, root, size, signature arrays), or of one with itself, that lie in different components."""
-    (n0, r0, s0, g0), (n1, r1, s1, g1) = block_lo, block_hi
+def _cross(block_lo, block_hi, same: bool, band: int) -> list[tuple[int, int]]:
+    """Links of two blocks (node, root, size, signature, n-gram set arrays), or of one with itself, between different components: a forest of them.
+
+    Pairs that share an earlier band have that bucket's task compare them.
+    """
+    (n0, r0, s0, g0, sets0), (n1, r1, s1, g1, sets1) = block_lo, block_hi
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
     i, j = np.nonzero(r0[:, None] != r1[None, :])
     small, large = np.minimum(s0[i], s1[j]), np.maximum(s0[i], s1[j])
     fits = small * THRESHOLD.denominator >= large * THRESHOLD.numerator
@@ -243,9 +268,16 @@ def _cross(block_lo, block_hi, same: bool) -> list[tuple[int, int]]:
     i, j = i[fits], j[fits]
     out = []
     for at in range(0, len(i), 20_000):
-        kept = at + surviving(g0[i[at : at + 20_000]], g1[j[at : at + 20_000]])
-        a, b = n0[i[kept]], n1[j[kept]]
-        out += zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)
+        x, y = i[at : at + 20_000], j[at : at + 20_000]
+        if band:
+            earlier = (g0[x, : band * ROWS] == g1[y, : band * ROWS]).reshape(len(x), band, ROWS).all(2).any(1)
+            x, y = x[~earlier], y[~earlier]
+        kept = surviving(g0[x], g1[y])
+        for u, v in zip(x[kept].tolist(), y[kept].tolist(), strict=True):
+            a, b = top(int(r0[u])), top(int(r1[v]))
+            if a != b and similar_sets(np.frombuffer(sets0[u], np.uint64), np.frombuffer(sets1[v], np.uint64)):
+                parent[a] = b
+                out.append((int(min(n0[u], n1[v])), int(max(n0[u], n1[v]))))
     return out
 
 
@@ -258,8 +290,10 @@ def _cross_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         node, root, size, block = (rows.column(c).to_numpy() for c in ("node", "root", "size", "block"))
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
         lo, hi = held[0].column("lo")[0].as_py(), held[0].column("hi")[0].as_py()
-        sides = [(node[block == k], root[block == k], size[block == k].astype(np.int64), sig[block == k]) for k in (lo, hi)]
-        found = _cross(*sides, lo == hi)
+        sets = np.empty(len(node), object)
+        sets[:] = rows.column("grams").to_pylist()
+        sides = [(node[block == k], root[block == k], size[block == k].astype(np.int64), sig[block == k], sets[block == k]) for k in (lo, hi)]
+        found = _cross(*sides, lo == hi, held[0].column("band")[0].as_py())
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
@@ -280,15 +314,16 @@ def _cross_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from pairs()
 
 
-def unresolved(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """Surviving pairs (a, b) of different components that share a bucket. Members are dealt out by pairs of blocks; pairs are formed inside tasks only."""
+def unresolved(members: DataFrame, roots: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between different components of texts that share a bucket. Members are dealt out by pairs of blocks; pairs are formed inside tasks only."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
     # two members have met already: one leads the bucket
-    still = saved(placed.where(F.col("members") > 2).join(open_keys, "key").select("key", "node", "root", "members"), "ngram-open")
+    still = saved(placed.where(F.col("members") > 2).join(open_keys, "key").select("key", "band", "node", "root", "members"), "ngram-open")
+    sets = saved(gram_sets(still.select("node").distinct(), texts, docs), "ngram-sets")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = still.join(texts.select("node", "size", "sig"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "size", "sig")
+    dealt = still.join(texts.select("node", "size", "sig").join(sets, "node"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "size", "sig", "grams")
     return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_cross_groups, "a long, b long").distinct()
 
 
@@ -296,12 +331,10 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """texts (see distinct_texts) and roots (node, root of texts with links)."""
     texts = distinct_texts(docs)
     members = band_members(texts)
-    stars = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(pruned(stars, texts), texts, docs)
-    roots = components(links)
-    crossing = saved(unresolved(members, roots, texts), "ngram-crossing")
-    if not crossing.isEmpty():
-        links = verified(crossing, texts, docs)
+    stars = saved(members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "ngram-stars")
+    roots = components(verified(pruned(stars, texts), texts, docs))
+    links = saved(unresolved(members, roots, texts, docs), "ngram-crossing")
+    if not links.isEmpty():
         known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(known.union(links))
     return texts, roots
