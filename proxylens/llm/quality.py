@@ -4,8 +4,8 @@ A logistic model on the form of a text (fitted on at most `sample` labelled docu
 order of the hash of their id) gives each document's evidence. Evidence is then summed by path (host and
 sub-collection) and by host. The spread of the group means beyond what chance explains sets how
 strongly a level is shrunk: hosts towards the whole corpus, paths towards their host. The posterior of
-a path moves the odds of its documents. The threshold is the one that keeps all but `lost` of the
-labelled good documents, 0.5 at most.
+a path moves the odds of its documents. The threshold is the one that keeps all but `lost` of all
+labelled good documents, in the fitting sample or not, 0.5 at most.
 
 Hosts are `source`, paths `source` and `lang`; nulls form groups of their own. Null text counts as
 empty. Repeated rows are judged alike. With no labels, or labels of one kind, everything is kept with
@@ -30,6 +30,8 @@ FEATURES = ("letters", "upper", "digits", "marks", "bars", "high", "word_len", "
 SAMPLE, LOST = 20_000, 0.0005
 #: Most paths whose posteriors are broadcast.
 MOST_PATHS = 200_000
+#: Most cells of a histogram that come to the driver.
+CELLS = 4096
 
 
 def _classes() -> np.ndarray:
@@ -127,6 +129,30 @@ def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
     return sites.select("_host", "_path", "host_posterior", F.col("posterior").alias("path_posterior"), (logit(clipped) - logit(F.lit(mean))).alias("shift")), mean
 
 
+def nth(scores: DataFrame, n: int) -> float:
+    """The value of `score`, in [0, 1], at place n from below; each histogram narrows the range to one cell."""
+    low, high = 0.0, 1.0
+    while low < high:
+        cell = F.least(F.floor((F.col("score") - low) / ((high - low) / CELLS)), F.lit(CELLS - 1)).alias("cell")
+        cells = scores.where(F.col("score").between(low, high)).groupBy(cell).agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).collect()  # CELLS rows at most
+        for c in sorted(cells, key=lambda c: c["cell"]):
+            if n < c.n:
+                low, high = c.low, c.high
+                break
+            n -= c.n
+    return low
+
+
+def percentile(scores: DataFrame, share: float) -> float | None:
+    """The exact percentile of `score`, between neighbours in proportion; None without rows."""
+    rows = scores.count()
+    if not rows:
+        return None
+    place = (rows - 1) * share
+    below = nth(scores, int(place))
+    return below if place == int(place) else below + (nth(scores, int(place) + 1) - below) * (place - int(place))
+
+
 def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lost: float = LOST, host: str = "source", path: str = "lang") -> DataFrame:
     """docs' columns with _evidence, _host_posterior, _path_posterior, _score, _keep."""
     ship_package(docs.sparkSession)
@@ -134,8 +160,9 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lost: float
     schema = T.StructType([*(f for f in raw.schema if f.name != "text"), T.StructField("features", T.ArrayType(T.DoubleType()))])
     table = saved(raw.mapInArrow(_featurize, schema), "quality-features")
     marks = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("y"))
-    taught = table.join(marks, table["_id"] == marks["doc_id"]).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = taught.select("_host", "_path", "features", "y").collect()  # `sample` rows at most
+    labelled = saved(table.join(marks, table["_id"] == marks["doc_id"]).drop("doc_id"), "quality-labelled")
+    taught = labelled.orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    rows = taught.select("features", "y").collect()  # `sample` rows at most
     x = np.array([r.features for r in rows]).reshape(len(rows), len(FEATURES))
     y = np.array([r.y for r in rows])
     n = 2 * len(FEATURES)
@@ -144,11 +171,10 @@ def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lost: float
     sites = saved(sites.select(F.coalesce(F.concat(F.lit("h"), "_host"), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), "_path"), F.lit("n")).alias("_p"), "host_posterior", "path_posterior", "shift"), "quality-sites")
     sites = broadcast_if_small(sites, MOST_PATHS)
     keys = [F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), F.col(path).cast("string")), F.lit("n")).alias("_p")]
-    # the same score for the sample, for the threshold
-    known = docs.sparkSession.createDataFrame([(r._host, r._path, list(r.features), float(r.y)) for r in rows], "source_ string, lang_ string, features array<double>, y double")
-    known = known.select("features", "y", F.coalesce(F.concat(F.lit("h"), "source_"), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), "lang_"), F.lit("n")).alias("_p"))
+    # the same score for every labelled row, for the threshold
+    site = [F.coalesce(F.concat(F.lit("h"), "_host"), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), "_path"), F.lit("n")).alias("_p")]
     score = sigmoid(model.evidence() + F.col("shift"))
-    good = known.join(sites, ["_h", "_p"]).where(F.col("y") > 0.5).agg(F.percentile(score, lost).alias("t")).first().t
+    good = percentile(saved(labelled.where(F.col("y") > 0.5).select("features", *site).join(sites, ["_h", "_p"]).select(score.alias("score")), "quality-scores"), lost)
     threshold = min(0.5, good * (1 - 1e-9)) if good is not None else 0.0
     scored = docs.select(F.struct("*").alias("_row"), *keys, F.col("text").cast("binary").alias("text"))
     out = T.StructType([*(f for f in scored.schema if f.name != "text"), T.StructField("features", T.ArrayType(T.DoubleType()))])

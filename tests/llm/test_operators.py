@@ -174,6 +174,26 @@ def test_quality(spark, odd):
     assert quality.keep_good(odd.limit(0), labels).count() == 0
 
 
+def test_quality_threshold_covers_all_labels(spark):
+    """Ten bad documents behind the fitting sample are labelled good: the threshold has to see them."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    behind = labels.join(docs, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").collect()[150:]
+    turned = [r.doc_id for r in behind if r.quality == 0][:10]
+    labels = labels.withColumn("quality", F.when(F.col("doc_id").isin(turned), 1).otherwise(F.col("quality")))
+    rows = quality.quality_report(docs, labels, sample=150, lost=0.005).join(labels, "doc_id").where("quality = 1").collect()
+    threshold = np.percentile([r.score for r in rows], 0.5)
+    assert len(turned) == 10 and len(rows) > 200 and threshold < 0.5
+    assert all(r.keep == (r.score >= threshold) for r in rows)
+
+
+def test_percentile_is_exact(spark):
+    values = [*np.random.default_rng(4).random(2000) ** 9, *[0.25] * 500, 0.0, 1.0]
+    scores = spark.createDataFrame([(float(v),) for v in values], "score double")
+    for share in (0, 0.0005, 0.3, 0.9, 1):
+        assert math.isclose(quality.percentile(scores, share), np.percentile(values, 100 * share), rel_tol=1e-12, abs_tol=1e-300)
+    assert quality.percentile(scores.limit(0), 0.5) is None
+
+
 def test_token_counts_equal_the_library(spark, odd):
     from tokenizers import Tokenizer
 
