@@ -6,8 +6,9 @@ allows; the rest of the target is a sample of documents ranked by random odds ov
 The sample ends where the next document would pass the target; later rounds go on down the ranking
 with documents that still fit.
 
-Null text counts 0 words; null source is a source of its own, last in order. Repeated rows are ranked
-alike and taken or left together. Empty input gives no rows. Input columns pass through; the added
+Null text counts 0 words; null source is a source of its own, last in order. Rows with equal doc_id,
+source and text get a draw each, by the hash of their other columns and their number among equal rows.
+Empty input gives no rows. Input columns pass through; the added
 columns replace clashing ones of the input.
 """
 
@@ -24,6 +25,10 @@ WORD = r"[^\x20\x09-\x0D]++"
 #: The rank is a number of so many bits, searched in steps of CELL bits, so that no window holds more than 2**CELL rows a source.
 BITS, CELL = 52, 12
 ADDED = ("size", "source_size", "target", "copies", "taken")
+#: Most draws of repeated rows that are broadcast.
+MOST_REPEATED = 1_000_000
+#: Repeated rows are numbered in runs of 2**RUN neighbours.
+RUN = 12
 #: Most sources whose table is broadcast.
 MOST_SOURCES = 200_000
 
@@ -32,12 +37,29 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def draw(seed: str) -> Column:
+def draw(seed: str, columns: Sequence[str] = ("doc_id", "source", "text")) -> Column:
     """A uniform number in (0, 1) that the row's contents decide."""
-    parts = [F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "text"))]
+    parts = [F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)]
     return (F.conv(F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << BITS)
 
 
+def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with _n, from 0 within keys. Runs of neighbours are counted first, so that no group is one task's."""
+    placed = saved(rows.withColumn("_at", F.monotonically_increasing_id()), "mix-repeated").withColumn("_run", F.shiftright("_at", RUN))
+    runs = placed.groupBy(*keys, "_run").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(*keys, "_run", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_run").orderBy("_at")) - 1
+    return placed.withColumn("_n", within).join(starts, [*keys, "_run"]).withColumn("_n", F.col("_first") + F.col("_n")).drop("_at", "_run", "_first")
+
+
+def set_apart(rows: DataFrame, repeated: DataFrame, seed: str) -> DataFrame:
+    """rows with an own draw _u for each of those whose draw is in `repeated`; the same set of draws for the same rows."""
+    several = numbered(rows.join(repeated, "_u", "left_semi"), ["_u", "_rest"])
+    several = several.withColumn("_u", draw(seed, ("_u", "_rest", "_n"))).drop("_n")
+    return rows.join(repeated, "_u", "left_anti").unionByName(several)
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
     """_source, source_size, target from rows of _source, size."""
     totals = sizes.groupBy("_source").agg(F.sum("size").alias("source_size"))
@@ -81,8 +103,15 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     weight_col: optional positive weights to which inclusion is proportional within a source.
     """
     docs = docs.drop(*ADDED)
-    sized = docs.select(F.struct("*").alias("_row"), F.col("source").alias("_source"), word_count(F.col("text")).alias("size"), draw(seed).alias("_u"), (F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)) if weight_col else F.lit(1.0)).alias("_w"))
-    slim = saved(sized.select("_source", "size", "_u", "_w"), "mix-sizes")
+    rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    others = F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0).cast("long")
+    weight = F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)) if weight_col else F.lit(1.0)
+    sized = docs.select(F.struct("*").alias("_row"), F.col("source").alias("_source"), word_count(F.col("text")).alias("size"), draw(seed).alias("_u"), weight.alias("_w"), others.alias("_rest"))
+    slim = saved(sized.select("_source", "size", "_u", "_w", "_rest"), "mix-sizes")
+    repeated = saved(slim.groupBy("_u").count().where("count > 1").select("_u"), "mix-repeats")
+    if not repeated.isEmpty():
+        repeated = broadcast_if_small(repeated, MOST_REPEATED)
+        sized, slim = set_apart(sized, repeated, seed), saved(set_apart(slim, repeated, seed), "mix-apart")
     means = slim.groupBy("_source").agg(F.avg("_w").alias("_mean"))
     targets = source_targets(slim, weights, share, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)

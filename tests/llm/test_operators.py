@@ -125,6 +125,23 @@ def test_mix(spark, odd):
     assert mixing.mix(odd).count() == odd.count() and mixing.repeat_copies(mixing.mix(odd)).columns == odd.columns and mixing.mix(odd.limit(0)).count() == 0
 
 
+def test_mix_reaches_its_target_with_repeated_rows(spark):
+    """A third of a source, and all of another, is one row many times."""
+    one = [(None, "the same eight words in every single row", "a", "x")] * 400 + [(i, f"document {i} has a text of eight words", "a", "x") for i in range(800)]
+    two = [(None, "other words", "b", str(i % 3)) for i in range(600)]
+    docs = spark.createDataFrame(one + two, "doc_id long, text string, source string, lang string")
+    rows = mixing.mix(docs, (20, 3), share=1.3).collect()
+    assert len(rows) == 1800
+    for source, copies in (("a", "same"), ("b", "other")):
+        own = [r for r in rows if r.source == source]
+        words = max(r.size for r in own)
+        assert 0 <= own[0].target - sum(r.taken for r in own) < words, source
+        drawn = [r.copies - min(x.copies for x in own) for r in own if copies in r.text]
+        assert 0.3 * len(drawn) * (own[0].target / own[0].source_size % 1) < sum(drawn) < len(drawn)
+    key = lambda r: str((r.doc_id, r.text, r.source, r.lang, r.copies))
+    assert sorted(map(key, rows)) == sorted(map(key, mixing.mix(docs.repartition(5), (20, 3), share=1.3).collect()))
+
+
 def test_urls(spark):
     urls = [(1, "http://A.Net/x"), (2, "https://example.net/en/y?q#z"), (3, "http://sub.example.com/de/1"), (4, "x.org/fr/"), (5, None), (6, "ftp://b.org/fr/p"), (7, "http://net"), (8, "http://badnet/"), (9, "a://b://c/d")]
     got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame(urls, "page_id long, url string")).collect()}
