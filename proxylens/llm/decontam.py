@@ -6,8 +6,9 @@ test fingerprints are joined, and hits are extended word by word along their dia
 than `window` words are one window of their own length, fingerprinted by all grams of that length.
 
 Words are runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z. Null and empty texts have
-no words; items without words, or without id, never occur. Equal texts are searched once. Repeated item ids count
-once. Empty tables give no hits. Input columns pass through `decontaminate`.
+no words; items without words never occur. Items without id are left out of `contamination_report`, as in
+its SQL; `decontaminate` searches them too. Equal texts are searched once. Repeated item ids count once.
+Empty tables give no hits. Input columns pass through `decontaminate`.
 """
 
 from __future__ import annotations
@@ -57,15 +58,15 @@ def fingerprints(words: Column, gram: int, window: int) -> Column:
     return let(words, lambda w: F.when(F.size(w) >= window, prints(w)).otherwise(F.expr(NO_PRINTS)))
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, item_words, length (of its windows)."""
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("item_words")).where(F.col("item_id").isNotNull() & (F.size("item_words") > 0)).distinct()
+def item_windows(benchmark: DataFrame, nameless: bool) -> DataFrame:
+    """item_id, item_words, length (of its windows); nameless: also of items without id."""
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("item_words")).where((F.col("item_id").isNotNull() | F.lit(nameless)) & (F.size("item_words") > 0)).distinct()
     return items.withColumn("length", F.least(F.size("item_words"), F.lit(WINDOW)))
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_hits(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame:
     """One row per distinct contaminated text: _digest, n_hit, items (sorted ids as strings)."""
-    items = saved(item_windows(benchmark).withColumn("item", F.monotonically_increasing_id()), "decontam-items")
+    items = saved(item_windows(benchmark, nameless).withColumn("item", F.monotonically_increasing_id()), "decontam-items")
     short = [r.length for r in items.where(F.col("length") < WINDOW).select("length").distinct().collect()]  # at most WINDOW - 1 numbers
     lengths = [(WINDOW, GRAM), *((n, n) for n in sorted(short))]
 
@@ -109,6 +110,6 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no window of any item, columns as they came."""
-    hits = broadcast_if_small(find_hits(docs, benchmark).select("_digest"), MOST_TEXTS)
+    """The documents that hold no window of any item, with or without id; columns as they came."""
+    hits = broadcast_if_small(find_hits(docs, benchmark, nameless=True).select("_digest"), MOST_TEXTS)
     return docs.withColumn("_digest", digest(F.col("text"))).join(hits, "_digest", "left_anti").select(*docs.columns)

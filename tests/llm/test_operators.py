@@ -247,6 +247,12 @@ def test_decontamination_with_short_items(spark, odd):
     assert decontam.decontaminate(odd, items).columns == odd.columns
 
 
+def test_decontaminate_searches_items_without_id(spark):
+    items = spark.createDataFrame([(None, "alpha beta gamma"), (1, "delta epsilon")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "an alpha beta gamma here"), (2, "delta epsilon"), (3, "alpha beta"), (4, None)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontam.decontaminate(docs, items).collect()) == [3, 4]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
