@@ -105,11 +105,15 @@ def apply_confidence_policy(df: DataFrame, min_conf: float = 0.7) -> DataFrame:
     return df.withColumn("usage_type", F.when(F.coalesce("confidence", F.lit(0.0)) < min_conf, "unknown").otherwise(F.col("usage_type")))
 
 
-def apply_overrides(df: DataFrame, entries: Sequence[dict]) -> DataFrame:
-    """Allow and block lists: entries with domain_suffix or domain_exact, risk and usage; the longest domain wins, block over allow."""
-    spark = df.sparkSession
-    rows = [(e.get("domain_suffix") or e["domain_exact"], "domain_exact" in e, e.get("risk"), e.get("usage"), bool(e.get("block"))) for e in entries]
-    table = small_side(spark.createDataFrame(rows, "key string, whole boolean, o_risk string, o_usage string, block boolean"))
+def apply_overrides(df: DataFrame, entries: Sequence[dict] | DataFrame) -> DataFrame:
+    """Allow and block lists: entries with domain_suffix or domain_exact, risk and usage; the longest domain wins, block over allow.
+
+    As a DataFrame, entries has the columns key, whole (domain_exact), o_risk, o_usage, block.
+    """
+    if not isinstance(entries, DataFrame):
+        rows = [(e.get("domain_suffix") or e["domain_exact"], "domain_exact" in e, e.get("risk"), e.get("usage"), bool(e.get("block"))) for e in entries]
+        entries = df.sparkSession.createDataFrame(rows, "key string, whole boolean, o_risk string, o_usage string, block boolean")
+    table = small_side(entries)
     hosts = df.select("norm_host").distinct().select("norm_host", F.explode(suffixes_of(F.col("norm_host"))).alias("key"))
     best = hosts.join(table, "key").where(~F.col("whole") | (F.col("key") == F.col("norm_host"))).groupBy("norm_host").agg(F.max_by(F.struct("o_risk", "o_usage"), F.struct("block", F.length("key"))).alias("o"))
     joined = df.join(best, "norm_host", "left")

@@ -167,8 +167,9 @@ def rule_coverage(spark, sf_dir):
 
 @query("SELECT url_signature, CASE WHEN norm_host LIKE 'm.%' AND norm_host LIKE '%.example.net' THEN 'low' WHEN norm_host LIKE '%.example.net' THEN 'high' ELSE risk_level END AS risk_level, (norm_host LIKE '%.example.net') AS overridden FROM cls")
 def overrides(spark, sf_dir):
-    hosts = [h.norm_host for h in p.sites(spark, sf_dir).where("norm_host like 'm.%.example.net'").select("norm_host").distinct().orderBy("norm_host").collect()]
-    entries = [{"domain_suffix": "example.net", "risk": "high"}] + [{"domain_exact": h, "risk": "low"} for h in hosts]
+    hosts = p.sites(spark, sf_dir).where("norm_host like 'm.%.example.net'").select(F.col("norm_host").alias("key")).distinct()
+    suffix = spark.range(1).select(F.lit("example.net").alias("key"), F.lit(False).alias("whole"), F.lit("high").alias("o_risk"))
+    entries = suffix.unionByName(hosts.select("key", F.lit(True).alias("whole"), F.lit("low").alias("o_risk"))).select("*", F.lit(None).cast("string").alias("o_usage"), F.lit(False).alias("block"))
     return rules.apply_overrides(rules.classify(p.sites(spark, sf_dir), rules.load_rules(spark, p.RULES)), entries).select("url_signature", "risk_level", "overridden")
 
 

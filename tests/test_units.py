@@ -132,3 +132,12 @@ def test_budget(spark):
     long = spark.createDataFrame([(f"aa{i:03d}", "x" * 30) for i in range(45)], "url_signature string, payload string")
     assert budget.make_batches(long).groupBy("batch").count().agg(F.max("count")).first()[0] == 20
     assert budget.make_batches(long, 20, 100).groupBy("batch").count().agg(F.max("count")).first()[0] == 3
+
+
+def test_overrides_take_a_dataframe(spark):
+    from proxylens.operators import rules
+
+    df = spark.createDataFrame([("m.a.net", "medium", "business"), ("b.a.net", "medium", "business"), ("c.org", "medium", "business")], "norm_host string, risk_level string, usage_type string")
+    entries = spark.createDataFrame([("a.net", False, "high", None, False), ("m.a.net", True, "low", None, False)], "key string, whole boolean, o_risk string, o_usage string, block boolean")
+    got = {r.norm_host: (r.risk_level, r.overridden) for r in rules.apply_overrides(df, entries).collect()}
+    assert got == {"m.a.net": ("low", True), "b.a.net": ("high", True), "c.org": ("medium", False)}
