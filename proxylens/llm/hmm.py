@@ -6,13 +6,14 @@ their last three bytes. A word of a bucket is drawn by its smoothed count within
 further place for words never seen. So the model's parameters are few enough to broadcast, while the
 word table grows with the corpus and is only joined.
 
-Training runs on pieces of at most `PIECE` tokens (the first piece of a text starts from the initial
-distribution, later ones from the state frequencies); each task sums the expected counts of its pieces
-and the sums meet in a shuffle by parameter. Scoring runs over whole texts.
-
-Null text counts as empty: it scores the end alone. Null doc_id is held out. Repeated rows are scored
-each and learned from as often as they occur. Without any training text every token is unknown and the
-model's score is the base score's form with N = V = 0. Extra columns are ignored.
+Training and scoring both run over whole texts, however long. Each task sums the expected counts of its
+texts and the sums meet in a shuffle by parameter. A text that is longer than a segment keeps the state of
+the forward pass at the segments' borders only; the backward pass computes each segment again.
+
+Null text counts as empty: it scores the end alone. Null doc_id is held out. Repeated rows, equal texts
+and ties are scored each and learned from as often as they occur. Without any training text (an empty
+table, or all rows held out) every token is unknown and the model's score is the base score's form with
+N = V = 0; an empty table gives no rows. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from proxylens.llm.common import saved, ship_package
 STATES, ROUNDS, OWN, TAIL = 12, 5, 1023, 1024
 #: Words whose counts are broadcast; all others are joined.
 FREQUENT = 150_000
-PIECE, PIECE_TOKENS = 256, 400_000
+#: Tokens whose texts are handled side by side, tokens whose states are held at once, and cells an octave of the histogram of counts.
+GROUP, SEGMENT, OCTAVE = 1 << 22, 1 << 20, 32
 SMOOTH = 0.1
 
 
@@ -86,60 +88,114 @@ class _Index(dict):
         return self.base + bucket_of(word, self.tail)
 
 
+class Lanes:
+    """Sequences side by side, the longest first: their tokens step by step, each step's from place at[t] on, lives[t] of them."""
+
+    def __init__(self, seqs: list[np.ndarray]):
+        sizes = np.array([len(s) for s in seqs], np.int64)
+        self.order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[self.order]
+        flat = np.concatenate([seqs[i] for i in self.order])
+        lives = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
+        at = np.concatenate([[0], np.cumsum(lives)])
+        step = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.tokens = np.empty_like(flat)
+        self.tokens[at[step] + np.repeat(np.arange(len(sizes)), sizes)] = flat
+        self.lives, self.at = lives.tolist(), at.tolist()
+
+    def segments(self, most: int) -> list[tuple[int, int]]:
+        """Ranges of steps of at most `most` tokens, or of one step."""
+        out, lo = [], 0
+        while lo < len(self.lives):
+            hi = max(lo + 1, int(np.searchsorted(self.at, self.at[lo] + most, "right")) - 1)
+            out.append((lo, hi))
+            lo = hi
+        return out
+
+
+class _Pass:
+    """Scaled forward states of a segment after the other, states x tokens, in one set of buffers."""
+
+    def __init__(self, model: Hmm, lanes: Lanes, segments: list[tuple[int, int]], kind):
+        most, k = max(lanes.at[hi] - lanes.at[lo] for lo, hi in segments), len(model.start)
+        self.lanes, self.start, self.into = lanes, model.start.astype(kind)[:, None], np.ascontiguousarray(model.step.T, kind)
+        self.rows = np.ascontiguousarray(model.emit.T, kind)
+        self.alpha, self.emit, self.scale = np.empty((k, most), kind), np.empty((k, most), kind), np.empty(most, kind)
+
+    def forward(self, lo: int, hi: int, before: np.ndarray | None) -> np.ndarray:
+        """Fills the buffers for steps lo to hi, from the states of step lo - 1; the states of step hi - 1."""
+        at, lives = self.lanes.at, self.lanes.lives
+        base, n = at[lo], at[hi] - at[lo]
+        tokens = self.lanes.tokens[base : at[hi]]
+        for row, out in zip(self.rows, self.emit, strict=True):
+            np.take(row, tokens, out=out[:n], mode="clip")
+        for t in range(lo, hi):
+            own = slice(at[t] - base, at[t] - base + lives[t])
+            a, c = self.alpha[:, own], self.scale[own]
+            if t:
+                np.matmul(self.into, before[:, : lives[t]], out=a)
+                a *= self.emit[:, own]
+            else:
+                np.multiply(self.start, self.emit[:, own], out=a)
+            np.add.reduce(a, 0, out=c)
+            a /= c
+            before = a
+        return before
+
+
 @dataclass
 class Hmm:
     start: np.ndarray
     step: np.ndarray
     emit: np.ndarray  # classes x states
-    usual: np.ndarray  # how often each state occurs
     own: int = 0
     tail_logs: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 of the total mass of each class; 0 for own ones
 
-    def score(self, seqs: list[np.ndarray]) -> np.ndarray:
+    def score(self, seqs: list[np.ndarray], segment: int = SEGMENT) -> np.ndarray:
         """log10 of the probability of each class sequence: the forward recursion, scaled at each token."""
-        sizes = np.array([len(s) for s in seqs], np.int64)
-        order = np.argsort(-sizes, kind="stable")
-        flat, first, sizes = np.concatenate(seqs), (np.cumsum(sizes) - sizes)[order], sizes[order]
-        total, live = np.zeros(len(seqs)), len(seqs)
-        for t in range(int(sizes[0])):
-            while sizes[live - 1] <= t:
-                live -= 1
-            a = (np.broadcast_to(self.start, (live, len(self.start))) if t == 0 else a[:live] @ self.step) * self.emit[flat[first[:live] + t]]
-            c = a.sum(1)
-            a = a / c[:, None]
-            total[:live] += np.log10(c)
+        lanes = Lanes(seqs)
+        segments, before = lanes.segments(segment), None
+        run, total = _Pass(self, lanes, segments, np.float64), np.zeros(len(seqs))
+        for lo, hi in segments:
+            before = run.forward(lo, hi, before).copy()
+            base, n = lanes.at[lo], lanes.at[hi] - lanes.at[lo]
+            logs = np.log10(run.scale[:n])
+            for t in range(lo, hi):
+                total[: lanes.lives[t]] += logs[lanes.at[t] - base : lanes.at[t] - base + lanes.lives[t]]
         out = np.empty_like(total)
-        out[order] = total
+        out[lanes.order] = total
         return out
 
-    def expected(self, pieces: list[np.ndarray], opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Baum-Welch: expected starts, steps and emissions of the pieces; opens: those that begin a text."""
-        k = len(self.start)
-        sizes = np.array([len(s) for s in pieces], np.int64)
-        order = np.argsort(-sizes, kind="stable")
-        flat, first, sizes, opens = np.concatenate(pieces), (np.cumsum(sizes) - sizes)[order], sizes[order], opens[order]
-        lives = [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]))]
-        alphas, emits, scales = [], [], []
-        for t, n in enumerate(lives):
-            e = self.emit[flat[first[:n] + t]]
-            a = (np.where(opens[:, None], self.start, self.usual) if t == 0 else alphas[-1][:n] @ self.step) * e
-            c = a.sum(1, keepdims=True)
-            alphas.append(a / c)
-            emits.append(e)
-            scales.append(c)
-        gamma = np.zeros((len(flat), k))
-        steps, beta = np.zeros((k, k)), np.zeros((0, k))
-        for t in range(len(lives) - 1, -1, -1):
-            n, later = lives[t], len(beta)
-            now = np.ones((n, k))
-            if later:
-                ahead = beta * emits[t + 1] / scales[t + 1]
-                steps += alphas[t][:later].T @ ahead
-                now[:later] = ahead @ self.step.T
-            beta = now
-            gamma[first[:n] + t] = alphas[t] * beta
-        emissions = np.stack([np.bincount(flat, gamma[:, s], len(self.emit)) for s in range(k)], 1)
-        return gamma[first[opens]].sum(0), steps * self.step, emissions
+    def expected(self, seqs: list[np.ndarray], segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Baum-Welch: expected starts, steps and emissions of the sequences, in single precision within a segment."""
+        lanes = Lanes(seqs)
+        segments, marks, before = lanes.segments(segment), [], None
+        run, at, lives, k = _Pass(self, lanes, segments, np.float32), lanes.at, lanes.lives, len(self.start)
+        for lo, hi in segments:
+            marks.append(before)
+            before = run.forward(lo, hi, before).copy()
+        steps, emissions = np.zeros((k, k)), np.zeros((len(self.emit), k))
+        back, beta, ahead = np.ascontiguousarray(self.step, np.float32), np.empty((k, lives[0]), np.float32), np.empty((k, 0), np.float32)
+        for i, (lo, hi) in reversed(list(enumerate(segments))):
+            base, n = at[lo], at[hi] - at[lo]
+            if i < len(segments) - 1:  # the buffers hold the last segment
+                ahead = ahead.copy()
+                run.forward(lo, hi, marks[i])
+            for t in range(hi - 1, lo - 1, -1):
+                own, later = slice(at[t] - base, at[t] - base + lives[t]), ahead.shape[1]
+                a, b = run.alpha[:, own], beta[:, : lives[t]]
+                if later:
+                    np.matmul(back, ahead, out=b[:, :later])
+                    steps += np.matmul(a[:, :later], ahead.T)
+                b[:, later:] = 1
+                a *= b  # the probabilities of the states now
+                ahead = run.emit[:, own]
+                ahead *= b
+                ahead /= run.scale[own]
+            tokens = lanes.tokens[base : at[hi]].astype(np.intp)
+            for s in range(k):
+                emissions[:, s] += np.bincount(tokens, run.alpha[s, :n], len(self.emit))
+        return run.alpha[:, : lives[0]].sum(1, dtype=np.float64), steps * self.step, emissions
 
 
 def first_model(class_counts: np.ndarray, states: int, seed: int) -> Hmm:
@@ -150,14 +206,14 @@ def first_model(class_counts: np.ndarray, states: int, seed: int) -> Hmm:
     stay = 0.9 if states > 1 else 1.0
     step = np.full((states, states), (1 - stay) / max(states - 1, 1))
     np.fill_diagonal(step, stay)
-    return Hmm(even, step, emit / emit.sum(0), even)
+    return Hmm(even, step, emit / emit.sum(0))
 
 
 def maximized(starts: np.ndarray, steps: np.ndarray, emissions: np.ndarray, class_counts: np.ndarray) -> Hmm:
     prior = (class_counts + SMOOTH) / (class_counts + SMOOTH).sum()
     emit = emissions + prior[:, None]
-    start, step, usual = starts + 1e-2, steps + 1e-2, emissions.sum(0) + 1e-2
-    return Hmm(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0), usual / usual.sum())
+    start, step = starts + 1e-2, steps + 1e-2
+    return Hmm(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(0))
 
 
 def _encoder(shared):
@@ -187,24 +243,21 @@ def _encoder(shared):
 def _counter(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Hmm = shared.value
-        sums, pieces, opens, held = None, [], [], 0
+        sums, group, held = None, [], 0
 
         def flush():
-            nonlocal sums, pieces, opens, held
-            got = model.expected(pieces, np.array(opens))
+            nonlocal sums, group, held
+            got = model.expected(group)
             sums = got if sums is None else tuple(a + b for a, b in zip(sums, got, strict=True))
-            pieces, opens, held = [], [], 0
+            group, held = [], 0
 
         for batch in batches:
             for seq in batch.column("seq"):
-                seq = np.frombuffer(seq.as_py(), np.uint16)
-                for lo in range(0, len(seq), PIECE):
-                    pieces.append(seq[lo : lo + PIECE])
-                    opens.append(lo == 0)
-                    held += len(pieces[-1])
-                    if held >= PIECE_TOKENS:
-                        flush()
-        if pieces:
+                group.append(np.frombuffer(seq.as_py(), np.uint16))
+                held += len(group[-1])
+                if held >= GROUP:
+                    flush()
+        if group:
             flush()
         if sums is not None:
             flat = np.concatenate([s.ravel() for s in sums])
@@ -229,8 +282,32 @@ def _scorer(shared):
     return run
 
 
-def score_corpus(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own: int = OWN, tail: int = TAIL, frequent: int = FREQUENT, seed: int = 5) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document."""
+def frequent_words(words: DataFrame, most: int) -> list:
+    """Rows of word, n: all words from some count on, `most` at most, in order of falling count."""
+    real = words.where(F.length("word") > 0).withColumn("cell", F.floor(F.log2("n") * OCTAVE))
+    room, least = most, None
+    for r in sorted(real.groupBy("cell").count().collect(), key=lambda r: -r["cell"]):  # 64 * OCTAVE rows at most
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["cell"]
+    found = real.where(F.col("cell") >= least).select("word", "n").collect() if least is not None else []  # `most` rows at most
+    return sorted(found, key=lambda r: (-r.n, bytes(r.word)))
+
+
+@dataclass
+class Trained:
+    model: Hmm
+    classes: Classes
+    words: DataFrame  # word, n of the training texts, the end as the empty word
+    tokens: int
+    distinct: int
+    end_known: bool
+    encoded: DataFrame
+
+
+def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own: int = OWN, tail: int = TAIL, frequent: int = FREQUENT, seed: int = 5) -> Trained:
+    """The model of the documents that are not held out, and all documents in its classes."""
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("text"))
@@ -238,14 +315,14 @@ def score_corpus(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, ow
     words = saved(counted.groupBy("word").agg(F.sum("n").alias("n")), "hmm-words")
 
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = words.where(F.length("word") > 0).orderBy(F.desc("n"), "word").limit(frequent).collect()  # `frequent` words at most
+    top = frequent_words(words, frequent)
     end = words.where(F.length("word") == 0).first()
     table = [b"", *(bytes(r.word) for r in top)]
     counts = np.array([end.n if end else 0, *(r.n for r in top)], np.float64)
     own = min(own, len(top))
     classes = Classes(table, np.log10(counts + SMOOTH), own, tail)
     owned = spark.createDataFrame([(bytearray(w),) for w in table[: 1 + own]], "word binary")
-    others = words.join(F.broadcast(owned), "word", "left_anti")
+    others = words.join(F.broadcast(owned), "word", "left_anti")  # 1 + own rows
     buckets = others.groupBy(F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(tail)).cast("int").alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # `tail` rows at most
     class_counts, mass = np.zeros(classes.size), np.zeros(classes.size)
     class_counts[: 1 + own] = counts[: 1 + own]
@@ -270,12 +347,18 @@ def score_corpus(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, ow
         model = maximized(sums[:states], sums[states:cut].reshape(states, states), sums[cut:].reshape(classes.size, states), class_counts)
         now.destroy()
     model.tail_logs, model.own = mass, own
+    return Trained(model, classes, words, int(total.n), int(total.v), end is not None, encoded)
+
 
-    missed = encoded.select("uid", F.explode("misses").alias("word")).join(words, "word", "left")
+def score_corpus(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document; options: see train."""
+    spark, t = docs.sparkSession, train(docs, **options)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    missed = t.encoded.select("uid", F.explode("misses").alias("word")).join(t.words, "word", "left")
     looked = missed.groupBy("uid").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("missed_log"), F.count("n").alias("found"))
-    scored = encoded.drop("misses").mapInArrow(_scorer(spark.sparkContext.broadcast(model)), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, uid long, state_score double, tail_mass double")
+    scored = t.encoded.drop("misses").mapInArrow(_scorer(spark.sparkContext.broadcast(t.model)), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, uid long, state_score double, tail_mass double")
     joined = scored.join(looked, "uid", "left")
     tail_log = F.col("rest_log") + F.coalesce("missed_log", F.lit(0.0))
-    base = F.col("own_log") + tail_log - F.col("n_tokens") * F.lit(float(np.log10(total.n + SMOOTH * (total.v + 1))))
-    ends_known = F.lit(0 if end else 1)
-    return joined.select("doc_id", "held_out", "n_tokens", (F.col("known") - ends_known + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(int(total.n)).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("state_score") + tail_log - F.col("tail_mass")).alias("score"))
+    base = F.col("own_log") + tail_log - F.col("n_tokens") * F.lit(float(np.log10(t.tokens + SMOOTH * (t.distinct + 1))))
+    ends_known = F.lit(0 if t.end_known else 1)
+    return joined.select("doc_id", "held_out", "n_tokens", (F.col("known") - ends_known + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(t.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("state_score") + tail_log - F.col("tail_mass")).alias("score"))
