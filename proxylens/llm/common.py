@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Most bytes of a table that is broadcast.
+MOST_BYTES = 48 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -17,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set (tests)."""
+    """The shared folder of the cluster; where none is set, a temporary one in local mode (tests) and an error elsewhere."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
         shared = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared
@@ -32,9 +36,10 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
-    """Mark df for broadcast if it has at most most_rows rows; else it joins through a shuffle."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+def broadcast_if_small(df: DataFrame, most_rows: int, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Mark df, a table, for broadcast if it has at most so many rows and bytes (written as JSON); else it joins through a shuffle."""
+    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if size.rows <= most_rows and size.bytes <= most_bytes else df
 
 
 def ascii_lower(c: Column) -> Column:

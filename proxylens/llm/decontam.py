@@ -2,13 +2,16 @@
 
 Each text keeps the minimum k-gram hash of every sliding window of `window - k + 1` k-grams, so any
 shared span of `window` words leaves a shared fingerprint at the same place of the span. Training and
-test fingerprints are joined, and hits are extended word by word along their diagonal. Items of fewer
-than `window` words are one window of their own length, fingerprinted by all grams of that length.
+test fingerprints are joined, and hits are extended word by word to both sides, as far as a window that
+holds the fingerprint can reach; every window that is shared holds one. Items of fewer than `window` words
+are one window of their own length, fingerprinted by all grams of that length.
 
 Words are runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z. Null and empty texts have
-no words; items without words never occur. Items without id are left out of `contamination_report`, as in
-its SQL; `decontaminate` searches them too. Equal texts are searched once. Repeated item ids count once.
-Empty tables give no hits. Input columns pass through `decontaminate`.
+no words; items without words never occur. The windows of items without id are searched like others; such
+items have no name to give and are left out of n_items and items_sha256. Equal texts are searched once and
+reported for each row. Repeated item ids count once. Texts of any length, also of one word repeated, take
+memory in proportion to their length. Empty tables give no hits. Input columns, whatever their names, pass
+through `decontaminate`; `contamination_report` ignores those it does not name.
 """
 
 from __future__ import annotations
@@ -21,9 +24,10 @@ from proxylens.llm.common import ascii_lower, broadcast_if_small, let, saved
 #: Around words, upper-case letters being part of words not yet lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 10, 5
-#: Most rows that are broadcast of: fingerprints, item words, matched texts.
-MOST_PRINTS, MOST_ITEMS, MOST_TEXTS = 1_000_000, 50_000, 1_000_000
+#: Most rows that are broadcast of: fingerprints of items, matched texts.
+MOST_PRINTS, MOST_TEXTS = 1_000_000, 1_000_000
 LOW32 = (1 << 32) - 1
+NO_HITS = "cast(array() as array<struct<length:int,hash:bigint,pos:int>>)"
 NO_PRINTS = "cast(array() as array<struct<hash:bigint,pos:int>>)"
 
 
@@ -58,58 +62,79 @@ def fingerprints(words: Column, gram: int, window: int) -> Column:
     return let(words, lambda w: F.when(F.size(w) >= window, prints(w)).otherwise(F.expr(NO_PRINTS)))
 
 
-def item_windows(benchmark: DataFrame, nameless: bool) -> DataFrame:
-    """item_id, item_words, length (of its windows); nameless: also of items without id."""
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("item_words")).where((F.col("item_id").isNotNull() | F.lit(nameless)) & (F.size("item_words") > 0)).distinct()
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """item_id, item_words, length (of its windows)."""
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("item_words")).where(F.size("item_words") > 0).distinct()
     return items.withColumn("length", F.least(F.size("item_words"), F.lit(WINDOW)))
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame:
+def gram_of(length: Column) -> Column:
+    return F.when(length == WINDOW, GRAM).otherwise(length)
+
+
+def surroundings(words: Column, pos: Column, length: Column) -> Column:
+    """The gram at pos, and the words before (the nearest first) and after it that a window with the gram can hold."""
+    gram = gram_of(length)
+    reach = length - gram
+    before = F.reverse(F.slice(words, F.greatest(pos - reach, F.lit(0)) + 1, F.least(reach, pos)))
+    return F.struct(F.slice(words, pos + 1, gram).alias("gram"), before.alias("before"), F.slice(words, pos + gram + 1, reach).alias("after"))
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """How many words at the beginning of both lists, each of WINDOW - GRAM at most, are equal."""
+    total, still = F.lit(0), F.lit(True)
+    for i in range(WINDOW - GRAM):
+        still = still & F.coalesce(F.get(a, F.lit(i)) == F.get(b, F.lit(i)), F.lit(False))
+        total = total + still.cast("int")
+    return total
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per distinct contaminated text: _digest, n_hit, items (sorted ids as strings)."""
-    items = saved(item_windows(benchmark, nameless).withColumn("item", F.monotonically_increasing_id()), "decontam-items")
+    items = saved(item_windows(benchmark), "decontam-items")
     short = [r.length for r in items.where(F.col("length") < WINDOW).select("length").distinct().collect()]  # at most WINDOW - 1 numbers
     lengths = [(WINDOW, GRAM), *((n, n) for n in sorted(short))]
 
-    def prints(df: DataFrame, keys: list[str], words: str, only_own: bool) -> DataFrame:
-        def of(n: int, g: int) -> Column:
-            found = fingerprints(F.col(words), g, n)
-            found = F.when(F.col("length") == n, found).otherwise(F.expr(NO_PRINTS)) if only_own else found
-            return F.transform(found, lambda p: F.struct(F.lit(n).alias("length"), p["hash"].alias("hash"), p["pos"].alias("pos")))
+    def prints(words: Column, n: int, g: int) -> Column:
+        return F.transform(fingerprints(words, g, n), lambda p: F.struct(F.lit(n).alias("length"), p["hash"].alias("hash"), p["pos"].alias("pos")))
 
-        each = F.concat(*[of(n, g) for n, g in lengths])
-        return df.select(*keys, F.explode(each).alias("p")).select(*keys, "p.*")
+    own = F.concat(*[F.when(F.col("length") == n, prints(F.col("item_words"), n, g)).otherwise(F.expr(NO_HITS)) for n, g in lengths])
+    tests = let(F.struct("item_words", own.alias("p")), lambda x: F.transform(x["p"], lambda p: F.struct(p["length"].alias("length"), p["hash"].alias("hash"), surroundings(x["item_words"], p["pos"], p["length"]).alias("there"))))
+    tests = saved(items.select("item_id", F.explode(tests).alias("t")).select("item_id", "t.*").distinct(), "decontam-tests")
+    wanted = broadcast_if_small(saved(tests.select("length", "hash").distinct(), "decontam-wanted"), MOST_PRINTS)
 
-    tests = prints(items, ["item", "item_words"], "item_words", True).select("item", "length", "hash", F.col("pos").alias("item_pos"))
     texts = docs.select(digest(F.col("text")).alias("_digest"), words_of(F.col("text")).alias("words"))
-    found = prints(texts, ["_digest"], "words", False).join(broadcast_if_small(tests, MOST_PRINTS), ["length", "hash"])
-    diagonals = saved(found.select("_digest", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), "decontam-diagonals")
-
-    hit_texts = broadcast_if_small(diagonals.select("_digest").distinct(), MOST_TEXTS)
-    matched = docs.select("text").withColumn("_digest", digest(F.col("text"))).join(hit_texts, "_digest", "left_semi").groupBy("_digest").agg(F.first("text").alias("text"))
-    pairs = matched.select("_digest", words_of(F.col("text")).alias("words")).join(diagonals, "_digest").join(broadcast_if_small(items, MOST_ITEMS), "item")
-
-    def starts(p: Column) -> Column:
-        low, high = F.greatest(F.lit(0), p["shift"]), F.least(F.size(p["words"]), F.size(p["item_words"]) + p["shift"]) - p["length"]
-        spans = F.filter(F.sequence(low, high), lambda i: F.slice(p["words"], i + 1, p["length"]) == F.slice(p["item_words"], i - p["shift"] + 1, p["length"]))
-        return F.when(high >= low, spans).otherwise(F.array().cast("array<int>"))
-
-    hits = pairs.select("_digest", "item_id", "length", let(F.struct("words", "item_words", "shift", "length"), starts).alias("starts")).where(F.size("starts") > 0)
-    positions = hits.select("_digest", "item_id", F.explode(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("length") - 1)))).alias("pos"))
-    per_text = positions.groupBy("_digest", "pos").agg(F.lit(1).alias("one")).groupBy("_digest").agg(F.count("*").alias("n_hit"))
-    per_items = hits.select("_digest", F.col("item_id").cast("string").alias("item_id")).distinct().groupBy("_digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    every = texts.select("_digest", F.explode(F.concat(*[prints(F.col("words"), n, g) for n, g in lengths])).alias("p")).select("_digest", "p.*")
+    found = every.join(wanted, ["length", "hash"], "left_semi")
+    marked = saved(found.groupBy("_digest").agg(F.collect_set(F.struct("length", "hash", "pos")).alias("marks")), "decontam-marks")
+
+    hit_texts = broadcast_if_small(marked.select("_digest"), MOST_TEXTS)
+    matched = docs.select("text", digest(F.col("text")).alias("_digest")).join(hit_texts, "_digest", "left_semi").groupBy("_digest").agg(F.first("text").alias("text"))
+    held = matched.select("_digest", words_of(F.col("text")).alias("words")).join(marked, "_digest")
+    here = let(F.struct("words", "marks"), lambda x: F.transform(x["marks"], lambda m: F.struct(m["length"].alias("length"), m["hash"].alias("hash"), m["pos"].alias("pos"), surroundings(x["words"], m["pos"], m["length"]).alias("here"))))
+    pairs = held.select("_digest", F.explode(here).alias("h")).select("_digest", "h.*").join(broadcast_if_small(tests, MOST_PRINTS), ["length", "hash"]).where(F.col("here.gram") == F.col("there.gram"))
+    spans = pairs.select("_digest", "item_id", "length", "pos", agreeing(F.col("here.before"), F.col("there.before")).alias("left"), agreeing(F.col("here.after"), F.col("there.after")).alias("right"))
+    spans = spans.where(F.col("left") + gram_of(F.col("length")) + F.col("right") >= F.col("length"))
+    spans = saved(spans.select("_digest", "item_id", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + gram_of(F.col("length")) + F.col("right")).alias("end")).distinct(), "decontam-spans")
+
+    positions = spans.select("_digest", "start", "end").distinct().select("_digest", F.explode(F.sequence("start", F.col("end") - 1)).alias("pos")).distinct()
+    per_text = positions.groupBy("_digest").agg(F.count("*").alias("n_hit"))
+    per_items = spans.groupBy("_digest").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     return saved(per_text.join(per_items, "_digest"), "decontam-hits")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every document."""
-    hits = broadcast_if_small(find_hits(docs, benchmark), MOST_TEXTS)
-    every = docs.select("doc_id", digest(F.col("text")).alias("_digest"), F.size(split_words(F.col("text"))).cast("long").alias("n_words")).join(hits, "_digest", "left")
+    hits = find_hits(docs, benchmark)
+    listed = F.array_join("items", ",")
+    hits = saved(hits.select("_digest", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256")), "decontam-report")
+    every = docs.select("doc_id", digest(F.col("text")).alias("_digest"), F.size(split_words(F.col("text"))).cast("long").alias("n_words")).join(broadcast_if_small(hits, MOST_TEXTS), "_digest", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return every.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return every.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no window of any item, with or without id; columns as they came."""
-    hits = broadcast_if_small(find_hits(docs, benchmark, nameless=True).select("_digest"), MOST_TEXTS)
-    return docs.withColumn("_digest", digest(F.col("text"))).join(hits, "_digest", "left_anti").select(*docs.columns)
+    """The documents that hold no window of any item; columns as they came."""
+    hits = find_hits(docs, benchmark).select(F.col("_digest").alias("_hit"))
+    kept = docs.select(F.struct("*").alias("_row"), digest(F.col("text")).alias("_digest")).join(broadcast_if_small(hits, MOST_TEXTS), F.col("_digest") == F.col("_hit"), "left_anti")
+    return kept.select("_row.*")
