@@ -50,33 +50,34 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_hmm_scores, op2_pii_spans, op3_shards, op4_url_verdicts, op5_flac_media, op6_quality, op7_mix, op8_token_counts, op9_ngram_classes, op10_contamination)}
 
-#: The mix: words, targets by water-filling, ranks from sha256, then four rounds down the ranking.
-_MIX_ROUND = """
-r{n} AS (SELECT k.src, k.rank, k.size, sum(k.size) OVER (PARTITION BY k.src ORDER BY k.rank) AS until FROM ranks k JOIN s{n} s USING (src) WHERE k.rank >= s.lo AND k.size <= s.room),
-e{n} AS (SELECT r.src, min(r.rank) AS stop, max(CASE WHEN r.until <= s.room THEN r.until END) AS used FROM (SELECT r.*, s.room AS room FROM r{n} r JOIN s{n} s USING (src)) r JOIN s{n} s USING (src) WHERE r.until > s.room GROUP BY r.src),
-u{n} AS (SELECT r.src, max(r.until) AS used FROM r{n} r JOIN s{n} s USING (src) WHERE r.until <= s.room GROUP BY r.src),
-s{m} AS (SELECT s.src, coalesce(e.stop, 9007199254740992) AS lo, CASE WHEN e.stop IS NULL THEN 0.0 ELSE s.room - coalesce(u.used, 0) END AS room, s.lo AS from_rank, coalesce(e.stop, 9007199254740992) AS to_rank, s.room AS most FROM s{n} s LEFT JOIN e{n} e USING (src) LEFT JOIN u{n} u USING (src)),
+#: The mix: words, targets by water-filling over sources, expected copies by water-filling over weights, and walks down the ranking of the Pareto quotients.
+_MIX_WALK = """
+c{n} AS (SELECT id, src, q, size, room, sum(size) OVER (PARTITION BY src ORDER BY q) AS upto FROM pool JOIN s{n} USING (src) WHERE q > behind AND size <= room),
+s{m} AS (SELECT s.src, coalesce(min(q) FILTER (WHERE upto > c.room), 'infinity'::DOUBLE) AS behind, any_value(s.room) - coalesce(sum(size) FILTER (WHERE upto <= c.room), 0) AS room FROM s{n} s LEFT JOIN c{n} c USING (src) GROUP BY s.src),
 """
 MIX_SQL = (
     r"""
-WITH d AS (SELECT doc_id, coalesce('s' || source, 'n') AS src, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size,
-  (('0x' || substr(sha256('mix|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(source, '') || '|' || coalesce(text, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u FROM documents),
+WITH raw AS (SELECT doc_id, coalesce('s' || source, 'n') AS src, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size,
+  substr(sha256('mix|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(source, '') || '|' || coalesce(text, '')), 1, 13) AS drawn FROM documents),
+numbered AS (SELECT *, row_number() OVER () AS id, count(*) OVER (PARTITION BY drawn) AS alike, row_number() OVER (PARTITION BY drawn) - 1 AS n FROM raw),
+d AS (SELECT id, doc_id, src, source, size, length(bin(size))::DOUBLE AS w, (('0x' || CASE WHEN alike > 1 THEN substr(sha256('mix|' || drawn || '|0|' || n), 1, 13) ELSE drawn END)::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u FROM numbered),
 tot AS (SELECT src, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY src),
-w AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w, source_size * 2.0::DOUBLE AS top FROM tot),
-l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(top) OVER (ORDER BY top / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY top / w, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-lv AS (SELECT arg_min(level, top / w) AS level FROM l WHERE level * w <= top),
-t AS (SELECT l.src, source_size, coalesce(least(top, lv.level * w), top) AS target FROM l LEFT JOIN lv ON true),
-p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
-q AS (SELECT *, target - whole * source_size AS room FROM p),
-f AS (SELECT *, CASE WHEN source_size > 0 THEN room / source_size ELSE 0.0 END AS chance FROM q),
-dr AS (SELECT d.*, f.source_size, f.target, f.whole, CASE WHEN chance <= 0 THEN 4503599627370496 WHEN chance >= 1 THEN 0 ELSE floor(((u / (1 - u)) / (chance / (1 - chance))) / (1 + (u / (1 - u)) / (chance / (1 - chance))) * 4503599627370496.0)::BIGINT END AS rank FROM d JOIN f USING (src)),
-ranks AS (SELECT src, rank, size FROM dr WHERE size > 0),
-s0 AS (SELECT src, 0::BIGINT AS lo, room, 0::BIGINT AS from_rank, 0::BIGINT AS to_rank, 0.0 AS most FROM q),
+share AS (SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS sw, source_size * 2.0::DOUBLE AS top FROM tot),
+lev AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(top) OVER (ORDER BY top / sw, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(sw) OVER (ORDER BY top / sw, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM share),
+t AS (SELECT src, source_size, coalesce(least(top, (SELECT arg_min(level, top / sw) FROM lev WHERE level * sw <= top) * sw), top) AS target FROM lev),
+g AS (SELECT src, w, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
+gs AS (SELECT h.src, h.w, any_value(target) AS target, any_value(h.words) AS words, coalesce(sum(o.words) FILTER (WHERE o.w > h.w), 0) AS above, sum(o.w * o.words) FILTER (WHERE o.w <= h.w) AS mass FROM g h JOIN g o USING (src) JOIN t USING (src) GROUP BY h.src, h.w),
+gf AS (SELECT *, CASE WHEN mass > 0 THEN (target - above * 2.0::DOUBLE) / mass END AS f FROM gs),
+best AS (SELECT src, arg_max(f, w) AS f FROM gf WHERE f * w <= 2 GROUP BY src),
+lam AS (SELECT gf.src, w, words, target, least(2.0::DOUBLE, coalesce(best.f * w, 2.0::DOUBLE)) AS lam FROM gf LEFT JOIN best USING (src)),
+s0 AS (SELECT src, -1.0::DOUBLE AS behind, any_value(target) - sum(floor(lam) * words) AS room FROM lam GROUP BY src),
+dl AS (SELECT d.*, floor(lam) AS whole, lam - floor(lam) AS chance FROM d JOIN lam USING (src, w)),
+pool AS (SELECT id, src, size, (u / (1 - u)) / (chance / (1 - chance)) AS q FROM dl WHERE chance > 0 AND size > 0),
 """
-    + "".join(_MIX_ROUND.format(n=n, m=n + 1) for n in range(4))
+    + "".join(_MIX_WALK.format(n=n, m=n + 1) for n in range(3))
     + """
-taken AS (SELECT src, from_rank, to_rank, most FROM s1 UNION ALL SELECT src, from_rank, to_rank, most FROM s2 UNION ALL SELECT src, from_rank, to_rank, most FROM s3 UNION ALL SELECT src, from_rank, to_rank, most FROM s4)
-SELECT doc_id, size::BIGINT AS size, source_size, target, (size * (whole + CASE WHEN size > 0 AND EXISTS (SELECT 1 FROM taken k WHERE k.src = dr.src AND dr.rank >= k.from_rank AND dr.rank < k.to_rank AND dr.size <= k.most) THEN 1 ELSE 0 END))::BIGINT AS taken FROM dr
+took AS (SELECT id FROM c0 WHERE upto <= room UNION ALL SELECT id FROM c1 WHERE upto <= room UNION ALL SELECT id FROM c2 WHERE upto <= room)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * (whole + (k.id IS NOT NULL)::INT))::BIGINT AS taken FROM dl JOIN t USING (src) LEFT JOIN took k USING (id)
 """
 )
 
@@ -84,13 +85,13 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 _WORDS = rf"list_filter(regexp_split_to_array({_LOW}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 CONTAMINATION_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS uid, doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0 AND item_id IS NOT NULL),
+b AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
 bw AS (SELECT DISTINCT item_id, n, w[i:i + n - 1] AS g FROM b, range(1, len(w) - n + 2) r(i)),
 lens AS (SELECT DISTINCT n FROM b),
 dw AS (SELECT uid, n, i, w[i:i + n - 1] AS g FROM d, lens, range(1, len(w) - n + 2) r(i) WHERE len(w) >= n),
 h AS (SELECT uid, item_id, i, dw.n FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
 pos AS (SELECT uid, count(DISTINCT i + k) AS n_hit FROM h, range(0, h.n) r(k) GROUP BY uid),
-its AS (SELECT uid, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT uid, item_id::VARCHAR AS x FROM h) GROUP BY uid)
+its AS (SELECT uid, count(x) AS n_items, coalesce(string_agg(x, ',' ORDER BY x), '') AS ids FROM (SELECT DISTINCT uid, item_id::VARCHAR AS x FROM h) GROUP BY uid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (uid) LEFT JOIN its USING (uid)
 """

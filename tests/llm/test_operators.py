@@ -24,7 +24,7 @@ def odd(spark):
 def test_hmm_forward_is_exact_and_sums_to_one():
     rng = np.random.default_rng(1)
     norm = lambda x, axis: x / x.sum(axis, keepdims=True)
-    model = hmm.Hmm(norm(rng.random(3), 0), norm(rng.random((3, 3)), 1), norm(rng.random((4, 3)), 0), np.full(3, 1 / 3), 0, np.zeros(4))
+    model = hmm.Hmm(norm(rng.random(3), 0), norm(rng.random((3, 3)), 1), norm(rng.random((4, 3)), 0), 0, np.zeros(4))
     seqs = [rng.integers(0, 4, n).astype(np.uint16) for n in (1, 7, 3, 12)]
     for seq, got in zip(seqs, model.score(seqs), strict=True):
         a = model.start * model.emit[seq[0]]
@@ -33,8 +33,60 @@ def test_hmm_forward_is_exact_and_sums_to_one():
         assert math.isclose(got, math.log10(a.sum()), rel_tol=1e-12)
     every = [np.array([i // 64 % 4, i // 16 % 4, i // 4 % 4, i % 4], np.uint16) for i in range(256)]
     assert math.isclose((10 ** model.score(every)).sum(), 1, rel_tol=1e-9)
-    starts, steps, emissions = model.expected(seqs, np.array([True] * 4))
-    assert math.isclose(starts.sum(), 4) and math.isclose(emissions.sum(), sum(map(len, seqs))) and math.isclose(steps.sum(), sum(len(s) - 1 for s in seqs))
+    starts, steps, emissions = model.expected(seqs)
+    assert math.isclose(starts.sum(), 4, rel_tol=1e-5) and math.isclose(emissions.sum(), sum(map(len, seqs)), rel_tol=1e-5) and math.isclose(steps.sum(), sum(len(s) - 1 for s in seqs), rel_tol=1e-5)
+
+
+def test_hmm_expected_counts_of_whole_sequences():
+    """Against plain forward and backward recursions, in one segment and in many."""
+    rng = np.random.default_rng(7)
+    norm = lambda x, axis: x / x.sum(axis, keepdims=True)
+    model = hmm.Hmm(norm(rng.random(3), 0), norm(rng.random((3, 3)), 1), norm(rng.random((5, 3)), 0))
+    seqs = [rng.integers(0, 5, n).astype(np.uint16) for n in (1, 900, 40, 2, 41)]
+    starts, steps, emissions = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+    for seq in seqs:
+        alphas, betas = [model.start * model.emit[seq[0]]], [np.ones(3)]
+        alphas[0] = alphas[0] / alphas[0].sum()
+        for x in seq[1:]:
+            a = (alphas[-1] @ model.step) * model.emit[x]
+            alphas.append(a / a.sum())
+        for x in seq[:0:-1]:
+            b = model.step @ (model.emit[x] * betas[0])
+            betas.insert(0, b / b.sum())
+        for t, x in enumerate(seq):
+            gamma = alphas[t] * betas[t]
+            emissions[x] += gamma / gamma.sum()
+            if t:
+                pair = alphas[t - 1][:, None] * model.step * (model.emit[x] * betas[t])
+                steps += pair / pair.sum()
+            else:
+                starts += gamma / gamma.sum()
+    for segment in (hmm.SEGMENT, 7):
+        for got, want in zip(model.expected(seqs, segment), (starts, steps, emissions), strict=True):
+            assert np.allclose(got, want, rtol=1e-4)
+        assert np.allclose(model.score(seqs, segment), model.score(seqs), rtol=1e-12)
+
+
+def test_hmm_score_equals_a_recursion_over_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(900, None), (901, "never seen wordlings " * 3), (None, "a b")], "doc_id long, text string"))
+    small = {"states": 3, "rounds": 2, "own": 50, "tail": 16, "frequent": 200}
+    t = hmm.train(docs, **small)
+    counts = {bytes(r.word): r.n for r in t.words.collect()}
+    own = t.classes.words[: 1 + t.classes.own]
+    of = lambda w: own.index(w) if w in own else len(own) + hmm.bucket_of(w, 16)
+    mass = {}
+    for w, n in counts.items():
+        if of(w) >= len(own):
+            mass[of(w)] = mass.get(of(w), 0.1) + n + 0.1
+    for r in hmm.score_corpus(docs, **small).join(docs, ["doc_id"]).collect():
+        total, state = 0.0, None
+        for w in [*(r.text or "").encode().lower().split(), b""]:
+            c = of(w)
+            emit = t.model.emit[c] * (1 if c < len(own) else (counts.get(w, 0) + 0.1) / mass.get(c, 0.1))
+            state = (t.model.start if state is None else state @ t.model.step) * emit
+            total += math.log10(state.sum())
+            state = state / state.sum()
+        assert math.isclose(r.score, total, rel_tol=1e-8), r.doc_id
 
 
 def test_hmm_training_raises_the_likelihood():
@@ -46,7 +98,7 @@ def test_hmm_training_raises_the_likelihood():
         score = model.score(seqs).sum()
         assert score > before - 1e-3 * abs(before if before > -math.inf else 1)
         before = score
-        model = hmm.maximized(*model.expected(seqs, np.ones(len(seqs), bool)), counts)
+        model = hmm.maximized(*model.expected(seqs), counts)
     assert before > hmm.first_model(counts, 1, 1).score(seqs).sum()
 
 
@@ -121,8 +173,8 @@ def test_mix(spark, odd):
         assert abs(sum(r.taken for r in own) - own[0].target) <= 0.02 * own[0].target
         assert own[0].target <= 2 * own[0].source_size + 1e-6
     assert math.isclose(sum({r.source: r.target for r in rows}.values()), 1.5 * sum(r.size for r in rows))
-    assert sum(r.size for r in mixing.repeat_copies(mixing.mix(docs)).select(mixing.word_count(F.col("text")).alias("size")).collect()) == sum(r.taken for r in rows)
-    assert mixing.mix(odd).count() == odd.count() and mixing.repeat_copies(mixing.mix(odd)).columns == odd.columns and mixing.mix(odd.limit(0)).count() == 0
+    assert sum(r.size for r in mixing.mixture(docs).select(mixing.word_count(F.col("text")).alias("size")).collect()) == sum(r.taken for r in rows)
+    assert mixing.mix(odd).count() == odd.count() and mixing.mixture(odd).columns == odd.columns and mixing.mix(odd.limit(0)).count() == 0
 
 
 def test_mix_reaches_its_target_with_repeated_rows(spark):
@@ -142,6 +194,45 @@ def test_mix_reaches_its_target_with_repeated_rows(spark):
     assert sorted(map(key, rows)) == sorted(map(key, mixing.mix(docs.repartition(5), (20, 3), share=1.3).collect()))
 
 
+def test_mix_one_row_five_hundred_times(spark):
+    """One row 500 times and 100 other rows: taken within 2 % of the target whatever the seed."""
+    rows = [(7, "one row that is there five hundred times over", "a")] * 500 + [(i, " ".join(["word"] * (20 + i % 90)), "a") for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in ("mix", "b", "c"):
+        got = mixing.mix(docs, (1,), share=0.9, seed=seed).collect()
+        assert abs(sum(r.taken for r in got) - got[0].target) <= 0.02 * got[0].target
+    import duckdb
+
+    from proxylens.llm import queries
+
+    con = duckdb.connect()
+    con.sql("create table documents (doc_id bigint, text varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", [*rows, (1, None, "b"), (2, "x y", None), (None, "", "a"), *[(i, "t " * (i % 7), "b") for i in range(30)]])
+    want = con.sql(queries.MIX_SQL).fetchall()
+    df = spark.createDataFrame(con.sql("select * from documents").fetchall(), "doc_id long, text string, source string")
+    names = ("doc_id", "size", "source_size", "target", "taken")
+    assert sorted(str((*r[:3], round(r[3], 6), r[4])) for r in want) == sorted(str((*(r[c] for c in names[:3]), round(r.target, 6), r.taken)) for r in mixing.mix(df).collect())
+
+
+def test_mix_inclusion_follows_the_weights(spark):
+    """Long documents are certain of a copy, short ones come as often as their weight says; over many seeds."""
+    rows = [(i, " ".join(["w"] * (3 if i % 4 else 1000)), "a") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").cache()
+    short, long = 2.0, 10.0  # binary digits of 3 and of 1000
+    factor = 0.15 * (60 * 3 + 20 * 1000) / (60 * 3 * short + 20 * 1000 * long)
+    seen = {3: 0, 1000: 0}
+    for seed in range(6):
+        for r in mixing.mix(docs, (1,), share=0.15, seed=str(seed)).collect():
+            assert r.copies <= 1
+            seen[r.size] += r.copies
+    assert abs(seen[1000] / (6 * 20) - factor * long) < 0.1
+    certain = mixing.mix(docs, (1,), share=1.2, rounds=1).collect()  # later rounds fill the rest with short documents
+    factor *= 8
+    assert factor * long > 1 and all(r.copies >= 1 for r in certain if r.size == 1000) and any(r.copies == 0 for r in certain if r.size == 3)
+    weighed = docs.withColumn("v", F.when(F.col("doc_id") < 40, 0.0).otherwise(3.0))
+    assert {r.doc_id for r in mixing.mix(weighed, (1,), share=0.3, weight_col="v").where("copies > 0").collect()} <= set(range(40, 80))
+
+
 def test_urls(spark):
     urls = [(1, "http://A.Net/x"), (2, "https://example.net/en/y?q#z"), (3, "http://sub.example.com/de/1"), (4, "x.org/fr/"), (5, None), (6, "ftp://b.org/fr/p"), (7, "http://net"), (8, "http://badnet/"), (9, "a://b://c/d")]
     got = {r.page_id: r for r in url_filter.filter_urls(spark.createDataFrame(urls, "page_id long, url string")).collect()}
@@ -229,11 +320,11 @@ def brute_hits(docs, items):
         for item in items:
             b = words(item.text)
             n = min(10, len(b))
-            grams = {tuple(b[i : i + n]) for i in range(len(b) - n + 1)} if n and item.item_id is not None else set()
+            grams = {tuple(b[i : i + n]) for i in range(len(b) - n + 1)} if n else set()
             for i in range(len(w) - n + 1):
                 if tuple(w[i : i + n]) in grams:
                     hit.update(range(i, i + n))
-                    ids.add(str(item.item_id))
+                    ids |= {str(item.item_id)} if item.item_id is not None else set()
         out.append((str(r.doc_id), len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()))
     return sorted(out)
 
@@ -247,6 +338,31 @@ def test_decontamination_with_short_items(spark, odd):
     assert decontam.decontaminate(odd, items).columns == odd.columns
 
 
+@pytest.mark.parametrize("words", [20_000, 1_000_000])
+def test_decontamination_of_one_word_repeated(spark, words):
+    items = spark.createDataFrame([(1, " ".join(["same"] * 12)), (2, "same same other"), (None, "stray tale")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "same " * words), (2, "same " * 9), (3, "a stray tale"), (4, "same " * 11 + "other")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontam.contamination_report(docs, items).collect()}
+    assert got == {1: (words, words, 1, True), 2: (9, 0, 0, False), 3: (3, 2, 0, True), 4: (12, 12, 2, True)}
+
+
+def test_contamination_sql_on_items_without_id(spark):
+    import duckdb
+
+    from proxylens.llm import queries
+
+    items = [(None, "alpha beta gamma"), (1, "delta epsilon"), (2, "beta"), (3, None)]
+    docs = [(1, "an alpha beta gamma here"), (2, "delta epsilon"), (3, "alpha"), (4, None), (None, "beta beta")]
+    con = duckdb.connect()
+    con.sql("create table documents (doc_id bigint, text varchar)")
+    con.sql("create table benchmark (item_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    con.executemany("insert into benchmark values (?, ?)", items)
+    want = con.sql(queries.CONTAMINATION_SQL).fetchall()
+    got = decontam.contamination_report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(str, want)) == sorted(map(str, map(tuple, got.collect())))
+
+
 def test_decontaminate_searches_items_without_id(spark):
     items = spark.createDataFrame([(None, "alpha beta gamma"), (1, "delta epsilon")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "an alpha beta gamma here"), (2, "delta epsilon"), (3, "alpha beta"), (4, None)], "doc_id long, text string")
