@@ -7,8 +7,10 @@ the reader knows all subframe kinds, checks the CRC-8 of every frame header, the
 and the MD5 of the whole signal, and raises ValueError where one fails. Each stream holds a seek table
 with a point for every frame.
 
-Null bytes give a null stream; empty ones a stream without frames; null streams decode to null.
-Equal inputs give equal streams. Extra columns pass through; added columns replace clashing ones.
+Null bytes give a null stream; empty ones a stream without frames; null streams decode to null. Payloads of
+any length are cut into blocks; a batch holds about BATCH_BYTES of them, or one payload. Equal inputs and
+repeated rows give equal streams, so ties need no order. Empty tables give empty tables. Extra columns pass
+through; added columns replace clashing ones.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +29,7 @@ from proxylens.llm.common import ship_package
 
 BLOCK, RATE = 4096, 8000
 #: Bytes of payload that are handled side by side.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 ORDER, PRECISION = 4, 12
 FIXED = {0: [], 1: [1], 2: [2, -1], 3: [3, -3, 1], 4: [4, -6, 4, -1]}
 
@@ -392,16 +395,16 @@ def decode_many(streams: Sequence[bytes]) -> list[list[tuple[int, bytes]]]:
     return found
 
 
-def _grouped(values: Sequence[bytes | None]) -> Iterator[tuple[int, int]]:
+def _grouped(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
     """Ranges of values of about BATCH_BYTES each."""
     lo, held = 0, 0
-    for i, v in enumerate(values):
-        held += len(v or b"")
+    for i, size in enumerate(sizes):
+        held += size
         if held >= BATCH_BYTES:
             yield lo, i + 1
             lo, held = i + 1, 0
-    if lo < len(values):
-        yield lo, len(values)
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
 def _over(column: str, work):
@@ -409,12 +412,13 @@ def _over(column: str, work):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [v.as_py() for v in batch.column(column)]
-            for lo, hi in _grouped(values):
-                there = [i for i in range(lo, hi) if values[i] is not None]
-                results = dict(zip(there, work([values[i] for i in there]), strict=True))
+            sizes = [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
+            for lo, hi in _grouped(sizes):
                 part = batch.slice(lo, hi - lo)
-                yield part, [results.get(i) for i in range(lo, hi)]
+                values = part.column(column).to_pylist()
+                there = [i for i, v in enumerate(values) if v is not None]
+                results = dict(zip(there, work([values[i] for i in there]), strict=True))
+                yield part, [results.get(i) for i in range(len(values))]
 
     return run
 
@@ -452,14 +456,46 @@ def pcm_blocks(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return decoded.select(id_col, F.posexplode("blocks").alias("block", "b")).select(id_col, "block", "b.sample_offset", "b.pcm")
 
 
+def signal(blocks: Sequence[tuple[int, bytes]]) -> dict:
+    """The whole signal of decoded blocks and what its samples say: sum, energy, peak, sign changes, and the block with most energy."""
+    pcm = b"".join(x for _, x in blocks)
+    x = np.frombuffer(pcm, np.uint8).astype(np.int64) - 128
+    loud = [int(((np.frombuffer(b, np.uint8).astype(np.int64) - 128) ** 2).sum()) for _, b in blocks]
+    return {
+        "pcm": pcm, "blocks": len(blocks), "total": int(x.sum()), "energy": sum(loud), "peak": int(np.abs(x).max(initial=0)),
+        "crossings": int(((x[1:] < 0) != (x[:-1] < 0)).sum()), "loudest_offset": blocks[int(np.argmax(loud))][0] if blocks else None,
+    }
+
+
+def signal_column(df: DataFrame, media_col: str = "media", signal_col: str = "signal") -> DataFrame:
+    """df with the decoded signal of each stream and its features: struct<pcm, blocks, total, energy, peak, crossings, loudest_offset>."""
+    ship_package(df.sparkSession)
+    df = df.drop(signal_col)
+    numbers = ("blocks", "total", "energy", "peak", "crossings", "loudest_offset")
+    kind = pa.struct([("pcm", pa.binary()), *((n, pa.int64()) for n in numbers)])
+
+    def run(batches):
+        for part, decoded in _over(media_col, decode_many)(batches):
+            rows = pa.array([None if d is None else signal(d) for d in decoded], kind)
+            yield pa.RecordBatch.from_arrays([*part.columns, rows], [*part.schema.names, signal_col])
+
+    fields = T.StructType([T.StructField("pcm", T.BinaryType()), *(T.StructField(n, T.LongType()) for n in numbers)])
+    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(signal_col, fields)]))
+
+
+def padded(raw: Column) -> Column:
+    """raw with bytes 0 up to a positive multiple of 64."""
+    n = F.octet_length(raw)
+    pad = F.when(n == 0, 64).otherwise(F.pmod(-n, F.lit(64)))
+    return F.concat(raw, F.substring(F.lit(bytes(64)), F.lit(1), pad))
+
+
 def media_manifest(docs: DataFrame) -> DataFrame:
-    """Texts as media: stored, read back, and described. One row per document."""
+    """Texts as media: stored, read back, and described. One row per document; null texts are empty. Other columns are ignored."""
     raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    n = F.octet_length(raw)
-    pad = F.lit(64) - F.pmod(n, F.lit(64))
-    payload = F.concat(raw, F.substring(F.lit(bytes(64)), F.lit(1), pad))
-    stored = encode_column(docs.select("doc_id", n.cast("long").alias("n_bytes"), payload.alias("payload")))
-    read = decode_column(stored).withColumn("pcm", F.array_join(F.transform("blocks", lambda b: F.hex(b["pcm"])), "")).withColumn("pcm", F.unhex("pcm"))
-    size = F.octet_length("pcm")
-    feature = F.concat_ws(";", F.concat(F.lit("rate="), F.lit(RATE)), F.concat(F.lit("samples="), size), F.concat(F.lit("blocks="), F.size("blocks")), F.concat(F.lit("last_offset="), F.element_at("blocks", -1)["sample_offset"]))
-    return read.select("doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("pcm", 256).alias("payload_sha256"), F.crc32(F.substring("pcm", -64, 64)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
+    stored = encode_column(docs.select("doc_id", F.octet_length(raw).cast("long").alias("n_bytes"), padded(raw).alias("payload")))
+    read = signal_column(stored)
+    names = ("total", "energy", "peak", "crossings", "blocks", "loudest_offset")
+    feature = F.concat_ws(";", *[F.concat(F.lit(f"{n}="), F.col(f"signal.{n}")) for n in names])
+    pcm = F.col("signal.pcm")
+    return read.select("doc_id", "n_bytes", F.octet_length(pcm).cast("long").alias("payload_bytes"), F.sha2(pcm, 256).alias("payload_sha256"), F.crc32(F.substring(pcm, -64, 64)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
