@@ -6,11 +6,13 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Most bytes of a table that is broadcast.
 MOST_BYTES = 48 << 20
+#: Repeated rows are numbered in runs of 2**RUN neighbours.
+RUN = 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,6 +44,16 @@ def broadcast_if_small(df: DataFrame, most_rows: int, most_bytes: int = MOST_BYT
     return F.broadcast(df) if size.rows <= most_rows and size.bytes <= most_bytes else df
 
 
+def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with _n, from 0 within keys. Runs of neighbours are counted first, so that no group is one task's."""
+    placed = saved(rows.withColumn("_at", F.monotonically_increasing_id()), "repeated").withColumn("_run", F.shiftright("_at", RUN))
+    runs = placed.groupBy(*keys, "_run").agg(F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(*keys, "_run", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_run").orderBy("_at")) - 1
+    return placed.withColumn("_n", within).join(starts, [*keys, "_run"]).withColumn("_n", F.col("_first") + F.col("_n")).drop("_at", "_run", "_first")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, UPPER, LOWER)

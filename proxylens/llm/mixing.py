@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from proxylens.llm.common import broadcast_if_small, saved
+from proxylens.llm.common import broadcast_if_small, numbered, saved
 
 WORD = r"[^\x20\x09-\x0D]++"
 #: The rank is a number of so many bits, searched in steps of CELL bits, so that no window holds more than 2**CELL rows a source.
@@ -36,8 +36,6 @@ ADDED = ("size", "source_size", "target", "copies", "taken")
 PARTS = 8
 #: Most draws of repeated rows that are broadcast.
 MOST_REPEATED = 1_000_000
-#: Repeated rows are numbered in runs of 2**RUN neighbours.
-RUN = 12
 #: Most sources whose table is broadcast.
 MOST_SOURCES = 200_000
 
@@ -57,16 +55,6 @@ def uniform(drawn: Column) -> Column:
     return (F.conv(drawn, 16, 10).cast("double") + 0.5) / float(1 << BITS)
 
 
-def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """rows with _n, from 0 within keys. Runs of neighbours are counted first, so that no group is one task's."""
-    placed = saved(rows.withColumn("_at", F.monotonically_increasing_id()), "mix-repeated").withColumn("_run", F.shiftright("_at", RUN))
-    runs = placed.groupBy(*keys, "_run").agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.select(*keys, "_run", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
-    within = F.row_number().over(Window.partitionBy(*keys, "_run").orderBy("_at")) - 1
-    return placed.withColumn("_n", within).join(starts, [*keys, "_run"]).withColumn("_n", F.col("_first") + F.col("_n")).drop("_at", "_run", "_first")
-
-
 def set_apart(rows: DataFrame, repeated: DataFrame, seed: str) -> DataFrame:
     """rows with an own draw _u for each of those whose draw is in `repeated`; the same set of draws for the same rows."""
     several = numbered(rows.join(repeated, "_u", "left_semi"), ["_u", "_rest"])

@@ -1,12 +1,15 @@
 """Sharding by a two-pass external shuffle.
 
-Pass one scatters records into memory-sized buckets with seeded hashes, pass two runs Fisher-Yates
-within each bucket. The shard follows the law `key`: it is the one whose seeded hash with doc_id is
-largest, so a further shard takes rows only into itself.
-
-Null doc_id: all such rows share a shard (their texts spread them over its buckets). Null text counts
-as empty. Repeated rows keep one slot each. Empty input gives no rows. Input columns pass through;
-a clashing `shard` or `slot` column of the input is replaced.
+Pass one scatters records into memory-sized buckets with seeded hashes, a partition for each bucket; pass
+two runs Fisher-Yates over each whole bucket. The shard follows the law `key`: it is the one whose seeded
+hash with doc_id is largest, so a further shard takes rows only into itself. A shard has as many buckets as
+its bytes need, so that a hot shard (a third of all rows without doc_id, say) has more of them.
+
+Where a row goes within its shard is decided by the hash of all its columns; rows that are equal in all
+columns are told apart by their number, so that they spread as well, and the result is the same from run to
+run. Null doc_id: all such rows share a shard. Null text counts as empty. Texts of any length stay whole.
+Repeated rows keep one slot each. Empty input gives no rows. Input columns, whatever their names, pass
+through; only a clashing `shard` or `slot` column of the input is replaced.
 """
 
 from __future__ import annotations
@@ -20,10 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proxylens.llm.common import ship_package
+from proxylens.llm.common import broadcast_if_small, numbered, saved, ship_package
 
-#: A bucket that is larger all the same (one record repeated very often) is shuffled in pieces of so many bytes.
-PIECE_BYTES = 256 << 20
+#: Most repeated rows, and most buckets, whose table is broadcast.
+MOST_REPEATED, MOST_BUCKETS = 1_000_000, 500_000
 
 
 def record_size() -> Column:
@@ -35,17 +38,23 @@ def shard_of(n_shards: int, seed: int) -> Column:
     return F.array_max(F.transform(F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda s: F.struct(F.xxhash64(F.lit(seed), s, F.col("doc_id")).alias("h"), s.alias("s"))))["s"]
 
 
+def row_hash(docs: DataFrame, seed: int) -> Column:
+    """A seeded hash of all columns; their places tell nulls apart."""
+    parts = [x for i, f in enumerate(docs.schema) for x in (F.lit(i), F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`"))]
+    return F.xxhash64(F.lit(seed), F.lit("bucket"), *parts)
+
+
 def _fisher_yates(seed: int):
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Rows of one bucket at a time; the input is sorted by bucket."""
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """One whole bucket at a time; the input is sorted by bucket."""
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            buckets = batch.column("_bucket").to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), batch.num_rows]
+            ids = batch.column("bucket").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), batch.num_rows]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if hi == lo:
                     continue
-                if held and (held[0].column("_bucket")[0].as_py() != buckets[lo] or sum(b.nbytes for b in held) > PIECE_BYTES):
+                if held and held[0].column("bucket")[0].as_py() != ids[lo]:
                     yield pa.Table.from_batches(held)
                     held = []
                 held.append(batch.slice(lo, hi - lo))
@@ -53,16 +62,14 @@ def _fisher_yates(seed: int):
             yield pa.Table.from_batches(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, done = None, 0
-        for piece in pieces(batches):
-            bucket, n = piece.column("_bucket")[0].as_py(), piece.num_rows
-            done = done if bucket == last else 0
+        for bucket in buckets(batches):
+            number, n = bucket.column("bucket")[0].as_py(), bucket.num_rows
             order = np.arange(n)
-            np.random.default_rng([seed, bucket, done]).shuffle(order)  # Fisher-Yates
-            slots = pa.array(np.arange(done, done + n) + piece.column("_first")[0].as_py(), pa.int64())
-            kept = [c for c in piece.column_names if c not in ("_bucket", "_first", "_tie")]
-            yield from piece.select(kept).take(pa.array(order)).append_column("slot", slots).to_batches(max_chunksize=4096)
-            last, done = bucket, done + n
+            np.random.default_rng([seed, number]).shuffle(order)  # Fisher-Yates
+            slots = pa.array(np.arange(n) + bucket.column("first")[0].as_py(), pa.int64())
+            for lo in range(0, n, 2048):
+                part = bucket.select(["row", "shard"]).take(pa.array(order[lo : lo + 2048]))
+                yield from part.append_column("slot", slots.slice(lo, 2048)).to_batches()
 
     return run
 
@@ -71,18 +78,25 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 24, seed: int = 2024060
     """docs with `shard` int and `slot` long, gapless from 0 within each shard, rows in slot order within each bucket."""
     ship_package(docs.sparkSession)
     docs = docs.drop("shard", "slot")
-    placed = docs.select("*", shard_of(n_shards, seed).alias("shard"), F.xxhash64(F.lit(seed), F.lit("bucket"), "doc_id", "text").alias("_tie"))
-    total = docs.agg(F.sum(record_size())).first()[0] or 0
-    n_sub = max(1, math.ceil(total / (n_shards * bucket_bytes)))
-    placed = placed.withColumn("_bucket", F.col("shard") * n_sub + F.pmod("_tie", F.lit(n_sub)).cast("int"))
-    counts = placed.groupBy("shard", "_bucket").count()
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
-    if n_shards * n_sub <= 500_000:  # rows of `first` at most
-        first = F.broadcast(first)
-    scattered = placed.join(first, "_bucket").repartition(n_shards * n_sub, "_bucket").sortWithinPartitions("_bucket", "_tie", "doc_id")
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in docs.schema], T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return scattered.select(*docs.columns, "shard", "_bucket", "_first").mapInArrow(_fisher_yates(seed), schema)
+    rows = docs.select(F.struct("*").alias("row"), shard_of(n_shards, seed).alias("shard"), record_size().alias("size"), row_hash(docs, seed).alias("tie"))
+    slim = saved(rows.groupBy("shard", "tie").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")), "shard-ties")
+    repeated = saved(slim.where("rows > 1").select("tie"), "shard-repeats")
+    if not repeated.isEmpty():
+        repeated = broadcast_if_small(repeated, MOST_REPEATED)
+        several = numbered(rows.join(repeated, "tie", "left_semi"), ["tie"]).withColumn("tie", F.xxhash64(F.lit(seed), "tie", "_n"))
+        rows = rows.join(repeated, "tie", "left_anti").unionByName(several.select(*rows.columns))
+
+    held = {r.shard: r.bytes for r in slim.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect()}  # n_shards rows at most
+    parts = [max(1, math.ceil(held.get(s, 0) / bucket_bytes)) for s in range(n_shards)]
+    begins = np.concatenate([[0], np.cumsum(parts)]).astype(int).tolist()
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), F.col("shard"))
+    placed = rows.withColumn("bucket", (pick(begins[:-1]) + F.pmod("tie", pick(parts))).cast("int"))
+    counts = saved(placed.groupBy("shard", "bucket").count(), "shard-buckets")
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = saved(counts.select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first")), "shard-firsts")
+    dealt = placed.join(broadcast_if_small(first, MOST_BUCKETS), "bucket").repartitionById(begins[-1], "bucket").sortWithinPartitions("bucket", "tie")
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    return dealt.select("row", "shard", "bucket", "first").mapInArrow(_fisher_yates(seed), schema).select("row.*", "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
