@@ -1,16 +1,18 @@
 """Quality classifier: document evidence combined with host and path posteriors by empirical Bayes.
 
 A logistic model on the form of a text (fitted on at most `sample` labelled documents, the first in
-order of the hash of their id) gives each document's evidence. Evidence is then summed by path (host and
-sub-collection) and by host. The spread of the group means beyond what chance explains sets how
-strongly a level is shrunk: hosts towards the whole corpus, paths towards their host. The posterior of
-a path moves the odds of its documents. The threshold is the one that keeps all but `lost` of all
-labelled good documents, in the fitting sample or not, 0.5 at most.
-
-Hosts are `source`, paths `source` and `lang`; nulls form groups of their own. Null text counts as
-empty. Repeated rows are judged alike. With no labels, or labels of one kind, everything is kept with
-the score 0.5. Several labels of a document count by their mean. Columns of the input pass through
-`keep_good`; clashing names do no harm.
+order of the hash of their id) gives each document's evidence. The labels of all documents are counted by
+path (host and sub-collection) and by host. The spread of the group means beyond what chance explains sets
+how strongly a level is shrunk: hosts towards the whole corpus, paths towards their host, so that a path
+without labels has its host's posterior and a host without labels the corpus's mean. The posterior of a path
+moves the odds of its documents. The threshold is the one that keeps all but `lost` of all labelled good
+documents, in the fitting sample or not, 0.5 at most. Each text is looked at once, besides the sample's.
+
+Hosts are `source`, paths `source` and `lang`; nulls form groups of their own. Null text counts as empty;
+texts of any length are looked at whole. Equal texts and repeated rows of one site are judged alike, and rows
+at the threshold stay. With no labels, or labels of one kind, everything is kept with the score 0.5. Several
+labels of a document count by their mean. Empty tables give no rows. Columns of the input, whatever their
+names, pass through `keep_good`.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from proxylens.llm.common import broadcast_if_small, saved, ship_package
 
 FEATURES = ("letters", "upper", "digits", "marks", "bars", "high", "word_len", "words", "distinct", "lines", "marked", "pairs")
 SAMPLE, LOST = 20_000, 0.0005
-#: Most paths whose posteriors are broadcast.
-MOST_PATHS = 200_000
+#: Most paths whose posteriors, and most documents whose labels are broadcast.
+MOST_PATHS, MOST_LABELS = 200_000, 1_000_000
 #: Most cells of a histogram that come to the driver.
 CELLS = 4096
 
@@ -103,11 +105,11 @@ def logit(c: Column) -> Column:
     return F.ln(c / (F.lit(1.0) - c))
 
 
-def shrunk(groups: DataFrame, keys: list[str], prior: Column) -> DataFrame:
-    """groups (keys, n, total, square, prior columns) with `posterior`, shrunk to prior as the data say."""
+def shrunk(groups: DataFrame, prior: Column) -> DataFrame:
+    """groups (n, total, square columns) with `posterior`, shrunk to prior as the data say."""
     mean = F.col("total") / F.col("n")
     own = F.greatest(F.col("square") / F.col("n") - mean * mean, F.lit(1e-6)) / F.col("n")
-    spread = groups.agg(F.sum("n").alias("n"), F.sum(F.col("n") * ((mean - prior) ** 2 - own)).alias("between"), F.sum(F.col("square")).alias("square"), F.sum("total").alias("total")).first()
+    spread = groups.where("n > 0").agg(F.sum("n").alias("n"), F.sum(F.col("n") * ((mean - prior) ** 2 - own)).alias("between"), F.sum("square").alias("square"), F.sum("total").alias("total")).first()
     if not spread.n:
         return groups.withColumn("posterior", prior)
     whole = spread.total / spread.n
@@ -116,17 +118,23 @@ def shrunk(groups: DataFrame, keys: list[str], prior: Column) -> DataFrame:
     return groups.withColumn("posterior", (F.col("total") + prior * strength) / (F.col("n") + strength))
 
 
-def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
-    """_host, _path, shift (of the logit) from rows of _host, _path, p; and the global mean."""
-    paths = saved(evidence.groupBy("_host", "_path").agg(F.count("*").alias("n"), F.sum("p").alias("total"), F.sum(F.col("p") * F.col("p")).alias("square")), "quality-paths")
+def site_keys(host: str, path: str) -> list[Column]:
+    """_h, _p: host and path as keys that are never null."""
+    return [F.coalesce(F.concat(F.lit(mark), F.col(c).cast("string")), F.lit("n")).alias(name) for name, mark, c in (("_h", "h", host), ("_p", "p", path))]
+
+
+def site_posteriors(sites: DataFrame, labelled: DataFrame) -> DataFrame:
+    """_h, _p, host_posterior, path_posterior, shift (of the logit) for each of the sites (_h, _p) by the labels (_h, _p, y)."""
+    none = sites.select("_h", "_p", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("total"), F.lit(0.0).alias("square"))
+    given = labelled.groupBy("_h", "_p").agg(F.count("*").alias("n"), F.sum("y").alias("total"), F.sum(F.col("y") * F.col("y")).alias("square"))
+    sums = [F.sum(c).alias(c) for c in ("n", "total", "square")]
+    paths = saved(none.union(given).groupBy("_h", "_p").agg(*sums), "quality-paths")
     overall = paths.agg(F.sum("n").alias("n"), F.sum("total").alias("total")).first()
     mean = min(max(overall.total / overall.n, 1e-3), 1 - 1e-3) if overall.n else 0.5
-    hosts = shrunk(paths.groupBy("_host").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("square").alias("square")), ["_host"], F.lit(mean))
-    hosts = hosts.select(F.col("_host").alias("_of"), F.col("posterior").alias("host_posterior"))
-    joined = saved(paths.join(hosts, F.col("_host").eqNullSafe(F.col("_of"))).drop("_of"), "quality-hosts")
-    sites = shrunk(joined, ["_host", "_path"], F.col("host_posterior"))
+    hosts = shrunk(paths.groupBy("_h").agg(*sums), F.lit(mean)).select("_h", F.col("posterior").alias("host_posterior"))
+    joined = shrunk(saved(paths.join(hosts, "_h"), "quality-hosts"), F.col("host_posterior"))
     clipped = F.greatest(F.lit(1e-3), F.least(F.lit(1 - 1e-3), F.col("posterior")))
-    return sites.select("_host", "_path", "host_posterior", F.col("posterior").alias("path_posterior"), (logit(clipped) - logit(F.lit(mean))).alias("shift")), mean
+    return joined.select("_h", "_p", "host_posterior", F.col("posterior").alias("path_posterior"), (logit(clipped) - logit(F.lit(mean))).alias("shift"))
 
 
 def nth(scores: DataFrame, n: int) -> float:
@@ -153,42 +161,46 @@ def percentile(scores: DataFrame, share: float) -> float | None:
     return below if place == int(place) else below + (nth(scores, int(place) + 1) - below) * (place - int(place))
 
 
-def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lost: float = LOST, host: str = "source", path: str = "lang") -> DataFrame:
-    """docs' columns with _evidence, _host_posterior, _path_posterior, _score, _keep."""
+def taught(docs: DataFrame, marks: DataFrame, sample: int) -> tuple[Model, bool]:
+    """The model of the first `sample` labelled documents, and whether there was something to learn."""
+    chosen = broadcast_if_small(saved(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "quality-sample"), sample)
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id").select("y", "text")
+    rows = texts.mapInArrow(_featurize, "y double, features array<double>").collect()  # of `sample` ids
+    x, y = np.array([r.features for r in rows]).reshape(len(rows), len(FEATURES)), np.array([r.y for r in rows])
+    if len(set(y > 0.5)) < 2:
+        return Model(np.zeros(2 * len(FEATURES)), 0.0), False
+    return Model(*fit(x, y)), True
+
+
+def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lost: float = LOST, host: str = "source", path: str = "lang", kept: list[str] | None = None) -> DataFrame:
+    """row (the columns `kept` of docs, all by default), evidence, host_posterior, path_posterior, score, keep."""
     ship_package(docs.sparkSession)
-    raw = docs.select(F.col("doc_id").alias("_id"), F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path"), F.col("text").cast("binary").alias("text"))
+    marks = saved(labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("y")), "quality-marks")
+    sites_of = docs.select("doc_id", *site_keys(host, path))
+    # ids that are labelled and in docs: the sample is drawn among them
+    known = saved(sites_of.join(broadcast_if_small(marks, MOST_LABELS), "doc_id").select("doc_id", "_h", "_p", "y"), "quality-known")
+    model, learned = taught(docs, known.groupBy("doc_id").agg(F.first("y").alias("y")), sample)
+    sites = saved(site_posteriors(sites_of.select("_h", "_p").distinct(), known), "quality-sites")
+
+    raw = docs.select(F.struct(*(kept or docs.columns)).alias("row"), F.col("doc_id").alias("_id"), *site_keys(host, path), F.col("text").cast("binary").alias("text"))
     schema = T.StructType([*(f for f in raw.schema if f.name != "text"), T.StructField("features", T.ArrayType(T.DoubleType()))])
-    table = saved(raw.mapInArrow(_featurize, schema), "quality-features")
-    marks = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("y"))
-    labelled = saved(table.join(marks, table["_id"] == marks["doc_id"]).drop("doc_id"), "quality-labelled")
-    taught = labelled.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = taught.select("features", "y").collect()  # `sample` rows at most
-    x = np.array([r.features for r in rows]).reshape(len(rows), len(FEATURES))
-    y = np.array([r.y for r in rows])
-    n = 2 * len(FEATURES)
-    model = Model(*fit(x, y)) if len(set(y > 0.5)) == 2 else Model(np.zeros(n), 0.0)
-    sites, _ = site_posteriors(table.select("_host", "_path", sigmoid(model.evidence()).alias("p")))
-    sites = saved(sites.select(F.coalesce(F.concat(F.lit("h"), "_host"), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), "_path"), F.lit("n")).alias("_p"), "host_posterior", "path_posterior", "shift"), "quality-sites")
-    sites = broadcast_if_small(sites, MOST_PATHS)
-    keys = [F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), F.col(path).cast("string")), F.lit("n")).alias("_p")]
-    # the same score for every labelled row, for the threshold
-    site = [F.coalesce(F.concat(F.lit("h"), "_host"), F.lit("n")).alias("_h"), F.coalesce(F.concat(F.lit("p"), "_path"), F.lit("n")).alias("_p")]
-    score = sigmoid(model.evidence() + F.col("shift"))
-    good = percentile(saved(labelled.where(F.col("y") > 0.5).select("features", *site).join(sites, ["_h", "_p"]).select(score.alias("score")), "quality-scores"), lost)
-    threshold = min(0.5, good * (1 - 1e-9)) if good is not None else 0.0
-    scored = docs.select(F.struct("*").alias("_row"), *keys, F.col("text").cast("binary").alias("text"))
-    out = T.StructType([*(f for f in scored.schema if f.name != "text"), T.StructField("features", T.ArrayType(T.DoubleType()))])
-    final = scored.mapInArrow(_featurize, out).withColumn("_evidence", sigmoid(model.evidence())).join(sites, ["_h", "_p"], "left")
-    whole = sigmoid(model.evidence() + F.coalesce("shift", F.lit(0.0)))
-    return final.select("_row.*", "_evidence", F.col("host_posterior").alias("_host_posterior"), F.col("path_posterior").alias("_path_posterior"), whole.alias("_score"), (whole >= threshold).alias("_keep"))
+    placed = raw.mapInArrow(_featurize, schema).join(broadcast_if_small(sites, MOST_PATHS), ["_h", "_p"], "left")
+    score = sigmoid(model.evidence() + F.col("shift")) if learned else F.lit(0.5)
+    scored = saved(placed.select("row", "_id", sigmoid(model.evidence()).alias("evidence"), "host_posterior", "path_posterior", score.alias("score")), "quality-scores")
+
+    threshold = 0.0
+    if learned:
+        good = broadcast_if_small(marks.where("y > 0.5").select(F.col("doc_id").alias("_id")), MOST_LABELS)
+        threshold = min(0.5, percentile(saved(scored.select("_id", "score").join(good, "_id").select("score"), "quality-good"), lost) * (1 - 1e-9))
+    return scored.drop("_id").withColumn("keep", F.col("score") >= threshold)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, evidence, host_posterior, path_posterior, score, keep for every document."""
-    rows = judged(docs.select("doc_id", "text", "source", "lang"), labels, **options)
-    return rows.select("doc_id", *[F.round(f"_{c}", 9).alias(c) for c in ("evidence", "host_posterior", "path_posterior", "score")], F.col("_keep").alias("keep"))
+    rows = judged(docs, labels, kept=["doc_id"], **options)
+    return rows.select("row.doc_id", *[F.round(c, 9).alias(c) for c in ("evidence", "host_posterior", "path_posterior", "score")], "keep")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not rejected, columns as they came."""
-    return judged(docs, labels, **options).where("_keep").select(*docs.columns)
+    return judged(docs, labels, **options).where("keep").select("row.*")

@@ -165,6 +165,37 @@ def test_shards(spark, odd):
     assert sharding.shuffle_into_shards(odd).count() == odd.count() and sharding.shuffle_into_shards(odd.limit(0)).count() == 0
 
 
+def test_shards_law_and_shuffle_are_computed_again(spark):
+    """The law by Spark's hash over plain pairs, Fisher-Yates by hand over each whole bucket, equal rows spread."""
+    rows = [(i % 40, f"text {i}", f"n{i % 3}") for i in range(400)] + [(None, "boilerplate", "n")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string")
+    size = 2000
+    got = sharding.shuffle_into_shards(docs, 4, 9, size).collect()
+    assert sorted(map(str, got)) == sorted(map(str, sharding.shuffle_into_shards(docs.repartition(7), 4, 9, size).collect()))
+    pairs = spark.createDataFrame([(d, s) for d in {r[0] for r in rows} for s in range(5)], "d long, s int").select("d", "s", F.xxhash64(F.lit(9), "s", "d").alias("h")).collect()
+    law = lambda d, n: max((r.h, r.s) for r in pairs if r.d == d and r.s < n)[1]
+    assert all(r.shard == law(r.doc_id, 4) for r in got)
+    assert {r.grown_shard for r in sharding.shard_manifest(docs, 4, 9, size).collect()} == {law(d, 5) for d in {r[0] for r in rows}}
+    ties = {(r.doc_id, r.text, r.note): r.tie for r in docs.select("*", sharding.row_hash(docs, 9).alias("tie")).collect()}
+    bytes_of = lambda s: sum(len(r.text.encode()) + 8 for r in got if r.shard == s)
+    parts = [max(1, math.ceil(bytes_of(s) / size)) for s in range(4)]
+    hot = law(None, 4)
+    assert parts[hot] > 2
+    for s in range(4):
+        if s == hot:
+            continue
+        slots, base = [r for r in sorted(got, key=lambda r: r.slot) if r.shard == s], 0
+        buckets = [[r for r in slots if ties[r[:3]] % parts[s] == b] for b in range(parts[s])]
+        for b, bucket in enumerate(buckets):
+            order = np.arange(len(bucket))
+            np.random.default_rng([9, sum(parts[:s]) + b]).shuffle(order)
+            plain = sorted(bucket, key=lambda r: ties[r[:3]])
+            assert slots[base : base + len(bucket)] == [plain[i] for i in order] or len({r[:3] for r in bucket}) < len(bucket)
+            base += len(bucket)
+    copies = sorted(r.slot for r in got if r.doc_id is None)
+    assert copies[-1] - copies[0] >= 299 and sorted(r.slot for r in got if r.shard == hot) == list(range(sum(r.shard == hot for r in got)))
+
+
 def test_mix(spark, odd):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = mixing.mix(docs).collect()
@@ -251,6 +282,29 @@ def test_url_model_generalises(spark):
     assert right / len(test) > 0.95
 
 
+def padded(text):
+    raw = (text or "").encode()
+    while not raw or len(raw) % 64:
+        raw += b"\0"
+    return raw
+
+
+def test_media_manifest_has_the_expected_values(spark):
+    """Sizes by hand; sums by plain Python over the bytes."""
+    docs = spark.createDataFrame([(0, None), (1, ""), (2, "a"), (3, "b" * 63), (4, "c" * 64), (5, "d" * 65), (6, "é" * 5000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in flac.media_manifest(docs).collect()}
+    assert [(got[i].n_bytes, got[i].payload_bytes) for i in range(7)] == [(0, 64), (0, 64), (1, 64), (63, 64), (64, 64), (65, 128), (10_000, 10_048)]
+    assert got[0].feature == got[1].feature == f"total={-128 * 64};energy={128 * 128 * 64};peak=128;crossings=0;blocks=1;loudest_offset=0"
+    for i, text in [(r.doc_id, r.text) for r in docs.collect()]:
+        raw = padded(text)
+        x = [b - 128 for b in raw]
+        want = {"total": sum(x), "energy": sum(v * v for v in x), "peak": max(map(abs, x)), "crossings": sum((a < 0) != (b < 0) for a, b in zip(x, x[1:], strict=False)), "blocks": -(-len(x) // 4096)}
+        assert dict(p.split("=") for p in got[i].feature.split(";")).items() >= {k: str(v) for k, v in want.items()}.items()
+        stream = flac.encode_many([raw])[0]
+        assert (got[i].media_bytes, got[i].media_sha256) == (len(stream), hashlib.sha256(stream).hexdigest())
+        assert (got[i].payload_sha256, got[i].tail_crc32) == (hashlib.sha256(raw).hexdigest(), binascii.crc32(raw[-64:]))
+
+
 def test_flac_round_trip_and_checks(spark, odd):
     rng = np.random.default_rng(3)
     payloads = [rng.integers(0, 256, 64 * n, dtype=np.uint8).tobytes() for n in (1, 5, 64, 65, 200)] + [bytes(64), b"ab" * 5000, bytes(range(256)) * 33, b""]
@@ -267,19 +321,58 @@ def test_flac_round_trip_and_checks(spark, odd):
     assert table == 42 and b"".join(x for _, x in flac.decode_many([unseekable])[0]) == payloads[4]
     rows = {(r.doc_id, r.payload_sha256) for r in flac.media_manifest(odd).collect()}
     for r in odd.collect():
-        raw = (r.text or "").encode()
-        assert (r.doc_id, hashlib.sha256(raw + bytes(64 - len(raw) % 64)).hexdigest()) in rows
+        assert (r.doc_id, hashlib.sha256(padded(r.text)).hexdigest()) in rows
     assert flac.pcm_blocks(flac.decode_column(flac.encode_column(odd.select("doc_id", F.encode("text", "UTF-8").alias("payload"))))).where("doc_id = 3").count() > 1
 
 
 def test_quality(spark, odd):
+    """Fitted on the labels of one half, judged on those of the other."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
-    got = quality.quality_report(docs, labels).join(labels, "doc_id")
-    right = got.agg(F.avg((F.col("keep") == (F.col("quality") == 1)).cast("double")).alias("all"), F.avg(F.when(F.col("quality") == 1, F.col("keep").cast("double"))).alias("good")).first()
-    assert right.all > 0.97 and right.good > 0.995
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
+    got = quality.quality_report(docs, labels.where(half == 0)).join(labels.where(half == 1), "doc_id")
+    right = got.agg(F.count("*").alias("n"), F.avg((F.col("keep") == (F.col("quality") == 1)).cast("double")).alias("all"), F.avg(F.when(F.col("quality") == 1, F.col("keep").cast("double"))).alias("good")).first()
+    assert right.n > 1500 and right.all > 0.97 and right.good > 0.995
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.keep_good(odd, none).count() == odd.count() and quality.keep_good(odd, none).columns == odd.columns
     assert quality.keep_good(odd.limit(0), labels).count() == 0
+    assert {r.score for r in quality.quality_report(odd, none).collect()} == {0.5}
+
+
+def test_quality_equals_brute_force(spark):
+    """Features, fit, posteriors by host and path, and threshold in plain loops."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source", "lang")
+    docs = docs.union(spark.createDataFrame([(10**6, "a new site " * 9, "nowhere", "en"), (10**6 + 1, None, None, None), (0, "again", "nowhere", "xx")], docs.schema))
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows, y = docs.collect(), {r.doc_id: r.quality for r in labels.collect()}
+    x = {i: quality.features_of((r.text or "").encode()) for i, r in enumerate(rows)}
+    seen = [i for i, r in enumerate(rows) if r.doc_id in y]
+    w, bias = quality.fit(np.array([x[i] for i in seen]), np.array([float(y[rows[i].doc_id]) for i in seen]))
+    evidence = {i: max(-12, min(12, bias + sum(a * b for a, b in zip([*f, *(v * v for v in f)], w, strict=True)))) for i, f in x.items()}
+    mean = sum(y[rows[i].doc_id] for i in seen) / len(seen)
+
+    def posteriors(key, prior):
+        groups = {key(r): [] for r in rows}
+        for i in seen:
+            groups[key(rows[i])].append(y[rows[i].doc_id])
+        n, within, between = len(seen), mean - mean * mean, 0.0
+        for k, g in groups.items():
+            if g:
+                m = sum(g) / len(g)
+                between += len(g) * ((m - prior(k)) ** 2 - max(m - m * m, 1e-6) / len(g))
+        strength = min(max(max(within, 1e-6) / max(between / n, 1e-9), 5.0), 1e6)
+        return {k: (sum(g) + prior(k) * strength) / (len(g) + strength) for k, g in groups.items()}
+
+    hosts = posteriors(lambda r: r.source, lambda k: mean)
+    paths = posteriors(lambda r: (r.source, r.lang), lambda k: hosts[k[0]])
+    logit = lambda p: math.log(p / (1 - p))
+    score = {i: 1 / (1 + math.exp(-(evidence[i] + logit(min(max(paths[r.source, r.lang], 1e-3), 1 - 1e-3)) - logit(mean)))) for i, r in enumerate(rows)}
+    threshold = min(0.5, np.percentile([score[i] for i in seen if y[rows[i].doc_id] == 1], 0.05))
+    want = sorted((str(r.doc_id), round(score[i], 5), bool(score[i] >= threshold - 1e-7), round(paths[r.source, r.lang], 6), round(hosts[r.source], 6)) for i, r in enumerate(rows))
+    got = sorted((str(r.doc_id), round(r.score, 5), r.keep, round(r.path_posterior, 6), round(r.host_posterior, 6)) for r in quality.quality_report(docs, labels).collect())
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and a[2] == b[2] and np.allclose([a[1], *a[3:]], [b[1], *b[3:]], atol=2e-5), (a, b)
 
 
 def test_quality_threshold_covers_all_labels(spark):
@@ -312,6 +405,15 @@ def test_token_counts_equal_the_library(spark, odd):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, table=100).collect()) == want
 
 
+def test_frequent_runs_are_merged_without_a_shuffle(spark):
+    rows = [(f"the the the rare{i} common{i % 5} {'x' * 300}",) for i in range(400)] + [(None,)]
+    docs = spark.createDataFrame(rows, "text string").repartition(40)
+    assert token_counts.frequent_runs(docs, 6) == [b"the", *[f"common{i}".encode() for i in range(5)]]
+    assert token_counts.frequent_runs(docs.limit(0)) == []
+    plan = token_counts.count_tokens(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def brute_hits(docs, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
     out = []
