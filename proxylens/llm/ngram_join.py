@@ -8,16 +8,19 @@ below `TOLERANCE`; the others are verified exactly on their whole n-gram sets.
 Candidates come in two rounds, so that a group of near copies costs no square of its size in rows. First
 every member of a band's bucket meets the bucket's first member; the links found give components. Then
 the pairs of a bucket that lie in different components are pruned and verified, block against block inside
-tasks, which hand out no more links than join the same texts. With
-BANDS bands of ROWS values a pair at the threshold misses all buckets with probability 6e-7, more
-similar ones less. Classes are the components of the verified links.
+tasks, which hand out no more links than join the same texts. Blocks hold one large component, or several
+small ones; blocks of one and the same component do not meet, so that an outlier in a bucket meets each other
+member once. With BANDS bands of ROWS values a pair at the threshold misses all buckets with probability 6e-7,
+more similar ones less. Classes are the components of the verified links.
 
-`link_counts` compares all pairs within a class, block by block inside tasks, and hands out counts only.
+`link_counts` compares all pairs within a class, block by block inside tasks, and hands out counts only: the
+work of this part is the square of the number of different texts of a class.
 
 Words are runs without ASCII white space, A-Z lower-cased. A text of fewer than `n` words has one n-gram
-of all its words; one without words has none and is like equal texts only. Null text counts as empty.
-Class ids are the least doc_id of the class (null only if all are null). Repeated rows are copies of one
-another. Empty input gives no rows. Other columns pass through `keep_one`.
+of all its words; one without words has none and is like equal texts only. Null text counts as empty. Texts of
+any length are compared whole. Class ids are the least doc_id of the class (null only if all are null).
+Repeated rows are copies of one another; among rows with the least id one stays. Empty input gives no rows.
+Other columns, whatever their names, pass through `keep_one`; `similarity_classes` ignores them.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proxylens.llm.common import broadcast_if_small, saved, ship_package
@@ -38,6 +41,8 @@ from proxylens.llm.common import broadcast_if_small, saved, ship_package
 N, THRESHOLD, TOLERANCE = 5, Fraction(4, 5), 1e-7
 BANDS, ROWS = 36, 5
 HASHES, STEP = BANDS * ROWS, 30
+#: Members of a bucket that is joined on the map side.
+LARGE = 10_000
 #: Members of a block; larger buckets and classes are compared block against block.
 BLOCK = 256
 #: Most rows of a table of digests that is broadcast.
@@ -160,11 +165,12 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def band_members(texts: DataFrame) -> DataFrame:
-    """key, band, node, leader, members for the buckets of two or more texts."""
+    """key, band, node, leader, members for the buckets of two or more texts. Large buckets meet their rows on the map side."""
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.substring(F.col("sig"), j * (2 * ROWS) + 1, F.lit(2 * ROWS))))
     bands = texts.where(F.col("size") > 0).select("node", F.posexplode(keys).alias("band", "key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where(F.col("members") > 1)
-    return saved(bands.join(shared, "key"), "ngram-members")
+    shared = saved(bands.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where(F.col("members") > 1), "ngram-shared")
+    large, few = broadcast_if_small(shared.where(F.col("members") > LARGE), MOST_DIGESTS), shared.where(F.col("members") <= LARGE)
+    return saved(bands.join(large, "key").unionByName(bands.join(few, "key")), "ngram-members")
 
 
 def close_sizes(a: str, b: str):
@@ -314,16 +320,28 @@ def _cross_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from pairs()
 
 
+def block_pairs(still: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """still (key, node, root, ...) with `block`; and key, block, lo, hi for each pair of blocks that is to meet, twice for two blocks."""
+    per = still.groupBy("key", "root").agg(F.count("*").alias("n")).withColumn("part", F.when(F.col("n") * 4 >= BLOCK, F.col("root")).otherwise(-1))
+    pools = saved(per.withColumn("total", F.sum("n").over(Window.partitionBy("key", "part"))).select("key", "root", "part", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks")), "ngram-pools")
+    placed = still.join(pools, ["key", "root"]).withColumn("block", F.xxhash64("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))).drop("part", "blocks")
+    blocks = pools.select("key", "part", "blocks").distinct().select("key", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    blocks = saved(blocks.select("key", "part", F.xxhash64("part", F.col("i").cast("int")).alias("block")), "ngram-blocks")
+    a, b = (blocks.select("key", F.col("part").alias(f"part_{x}"), F.col("block").alias(x)) for x in ("lo", "hi"))
+    pairs = saved(a.join(b, "key").where((F.col("lo") <= F.col("hi")) & ((F.col("part_lo") != F.col("part_hi")) | (F.col("part_lo") == -1))).select("key", "lo", "hi"), "ngram-block-pairs")
+    return placed, pairs.select("key", F.col("lo").alias("block"), "lo", "hi").union(pairs.where("lo != hi").select("key", F.col("hi").alias("block"), "lo", "hi"))
+
+
 def unresolved(members: DataFrame, roots: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) between different components of texts that share a bucket. Members are dealt out by pairs of blocks; pairs are formed inside tasks only."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
     # two members have met already: one leads the bucket
-    still = saved(placed.where(F.col("members") > 2).join(open_keys, "key").select("key", "band", "node", "root", "members"), "ngram-open")
+    still = saved(placed.where(F.col("members") > 2).join(open_keys, "key").select("key", "band", "node", "root"), "ngram-open")
     sets = saved(gram_sets(still.select("node").distinct(), texts, docs), "ngram-sets")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = still.join(texts.select("node", "size", "sig").join(sets, "node"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "size", "sig", "grams")
+    placed, meetings = block_pairs(still)
+    dealt = placed.join(meetings, ["key", "block"]).join(texts.select("node", "size", "sig").join(sets, "node"), "node")
+    dealt = dealt.select("key", "band", "lo", "hi", "block", "node", "root", "size", "sig", "grams")
     return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(_cross_groups, "a long, b long").distinct()
 
 
@@ -340,7 +358,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return texts, roots
 
 
-def _count_blocks(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _count_blocks(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Similar texts of each text of two blocks of a class: their number and that of their documents."""
     lo, hi = pdf[pdf["block"] == key[1]], pdf[pdf["block"] == key[2]]
     sets = [[np.frombuffer(g, np.uint64) for g in x["grams"]] for x in (lo, hi)]
@@ -397,10 +415,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     placed = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = placed.groupBy("root").agg(F.min(F.struct(F.col("min_doc").isNull(), "min_doc", "node"))["node"].alias("kept"))
     rulings = placed.join(kept, "root").where((F.col("node") != F.col("kept")) | (F.col("n_docs") > 1))
-    rulings = saved(rulings.select(F.col("digest").alias("_digest"), (F.col("node") == F.col("kept")).alias("_first"), F.col("min_doc").alias("_doc"), F.col("n_first").alias("_rows")), "ngram-rulings")
-    keyed = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    ruled = keyed.join(broadcast_if_small(rulings, MOST_DIGESTS), "_digest", "left").where(F.col("_first").isNull() | (F.col("_first") & F.col("doc_id").eqNullSafe(F.col("_doc"))))
-    single = F.coalesce(F.col("_rows"), F.lit(1)) == 1
-    if rulings.where("_first and _rows > 1").isEmpty():
-        return ruled.select(*docs.columns)
-    return ruled.where(single).select(*docs.columns).union(ruled.where(~single).dropDuplicates(["_digest"]).select(*docs.columns))
+    rulings = saved(rulings.select("digest", (F.col("node") == F.col("kept")).alias("first"), F.col("min_doc").alias("doc"), F.col("n_first").alias("rows")), "ngram-rulings")
+    keyed = docs.select(F.struct("*").alias("row"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"))
+    ruled = keyed.join(broadcast_if_small(rulings, MOST_DIGESTS), "digest", "left").where(F.col("first").isNull() | (F.col("first") & F.col("row.doc_id").eqNullSafe(F.col("doc"))))
+    single = F.coalesce("rows", F.lit(1)) == 1
+    if rulings.where("first and rows > 1").isEmpty():
+        return ruled.select("row.*")
+    return ruled.where(single).select("row.*").union(ruled.where(~single).dropDuplicates(["digest"]).select("row.*"))
