@@ -5,8 +5,9 @@ URLs that a rule decides teach the model what to say of the others. At most `sam
 URLs, the first in order of their hash, are used for the fit.
 
 Null urls and urls without `://` have an empty host and path, which no rule fits; the model judges them by its
-intercept and the empty n-gram set. Repeated rows are judged alike. With no labelled URL at all every
-verdict of the model is `allow`.
+intercept and the empty n-gram set. Urls of any length are looked at whole. Repeated rows and equal urls are
+judged alike; a score of 0 blocks. With no labelled URL at all every verdict of the model is `allow`. An empty
+table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -80,6 +80,23 @@ def test_large_buckets_are_compared_by_blocks(spark, monkeypatch):
     check(spark, spark.createDataFrame([Row(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA))
 
 
+def test_an_outlier_meets_each_block_once(spark):
+    """One bucket of 1,000 texts of one component and one outlier: as many meetings as blocks, not their square."""
+    still = spark.createDataFrame([(5, 0, i, 0) for i in range(1000)] + [(5, 0, 5000, 5000)], "key long, band int, node long, root long")
+    placed, meetings = ngram_join.block_pairs(still)
+    assert placed.count() == 1001
+    pairs = {(r.lo, r.hi) for r in meetings.collect()}
+    assert len(pairs) == 1 + 4  # the outlier's block with itself and with the four others
+    blocks = {r.node: r.block for r in placed.collect()}
+    assert all((min(b, blocks[5000]), max(b, blocks[5000])) in pairs for b in blocks.values())
+
+
+def test_large_buckets_are_joined_on_the_map_side(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LARGE", 3)
+    base = [f"b{i}" for i in range(60)]
+    check(spark, spark.createDataFrame([Row(i, " ".join([*base, *(f"t{k}x{i}" for k in range(i % 5))]), "en", "s", 1) for i in range(40)], SCHEMA))
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     for compared, least in ngram_join.least_matches():
         assert 0 < least < 0.8 * compared

@@ -147,6 +147,51 @@ def test_pii_base_spans_equal_plain_matching(spark):
         assert set(filter(None, text.split(","))) <= set(got[r.doc_id].spans.split(","))
 
 
+def test_pii_added_spans_on_planted_spellings(spark):
+    """Spellings and look-alikes that the training does not write, between words of the documents; figures are in the README."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng = np.random.default_rng(8)
+
+    def card(sep):
+        d = [4, *rng.integers(0, 10, 14).tolist()]
+        doubled = [x * 2 - 9 * (x > 4) if i % 2 == 0 else x for i, x in enumerate(d)]
+        d = "".join(map(str, [*d, -sum(doubled) % 10]))
+        return sep.join(d[i : i + 4] for i in range(0, 16, 4))
+
+    names = ["ann", "bob.k", "mia99", "leo_x"]
+    n = lambda low, high: int(rng.integers(low, high))
+    good, bad = [], []
+    for i in range(50):
+        who = names[i % 4]
+        good += [("email", f"{who} {{at}} mail{n(1, 9)} {{dot}} com"), ("email", f"{who}[AT]host{n(1, 9)}.example.org"), ("ip", f"{n(11, 255)}[dot]{n(11, 255)}[dot]{n(11, 255)}[dot]{n(11, 255)}"), ("card", card("_")), ("card", card("  ")), ("phone", f"({n(200, 999)}) {n(200, 999)}-{n(1000, 9999)}")]
+        bad += [f"20{n(10, 30)}-{n(10, 13)}-{n(10, 29)} {n(10, 24)}:{n(10, 60)}", f"version {n(0, 9)}-{n(0, 9)}-{n(0, 9)}-{n(0, 9)}", f"lines {n(10, 99)}, {n(10, 99)}, {n(10, 99)}, {n(10, 99)}", f"look at stars dot {who}", f"isbn {n(100, 999)} {n(10, 99)} {n(1000, 9999)}"]
+    rows, at = [], {}
+    words = ["heea", "onstha", "erti", "thnd", "rely"]
+    for i, (kind, value) in enumerate(good):
+        head = f"{words[i % 5]} {words[i % 3]} "
+        rows.append((10**6 + i, f"{head}{value} {words[i % 4]}"))
+        at[10**6 + i] = f"{kind}:{len(head)}:{len(head) + len(value)}"
+    rows += [(2 * 10**6 + i, f"{words[i % 5]} {value} {words[i % 4]}") for i, value in enumerate(bad)]
+    planted = spark.createDataFrame(rows, docs.schema)
+    got = pii.with_spans(planted, pii.train(docs)).select("_row.doc_id", pii.written(F.col("base")).alias("base"), pii.written(F.col("spans")).alias("spans")).collect()
+    found = {r.doc_id: set(filter(None, r.spans.split(","))) - set(r.base.split(",")) for r in got}
+    caught = {kind: np.mean([at[10**6 + i] in found[10**6 + i] for i, (k, _) in enumerate(good) if k == kind]) for kind in pii.KINDS}
+    wrong = sum(len(found[i]) for i in found if i >= 2 * 10**6) + sum(len(found[i] - {at[i]}) for i in at)
+    right = sum(at[i] in found[i] for i in at)
+    print("planted:", {k: round(float(v), 3) for k, v in caught.items()}, "precision", round(right / (right + wrong), 3))
+    assert right / len(good) > 0.7 and right / (right + wrong) > 0.95
+
+
+@pytest.mark.parametrize("n", [20_000])
+def test_pii_of_a_text_with_very_many_spans(spark, n):
+    text = " ".join(f"a{i}@b{i}.org +1 (988) 555-{i:04d}"[:40] for i in range(n))
+    rows = pii.pii_report(spark.createDataFrame([(1, text), (2, "x" * 1_000_000 + "@" + "y." * 200_000 + "z")], "doc_id long, text string")).collect()
+    by = {r.doc_id: r for r in rows}
+    want = base_spans(text)
+    assert by[1].n_email == n and by[1].base_sha256 == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in want).encode()).hexdigest()
+    assert by[2].n_email == 1
+
+
 def test_pii_redacts(spark, odd):
     docs = spark.createDataFrame([(1, "write to ann@x.org or +1 (988) 555-2485."), (2, None)], "doc_id long, text string")
     assert [r.text for r in pii.redact(docs).orderBy("doc_id").collect()] == ["write to [EMAIL] or [PHONE].", None]
