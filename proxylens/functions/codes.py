@@ -13,7 +13,7 @@ NONE = "cast(array() as array<string>)"
 
 def canonical_array(codes: Column) -> Column:
     """Codes without blanks and repeats, sorted; never null."""
-    return F.coalesce(F.array_sort(F.array_distinct(F.filter(F.transform(codes, F.trim), lambda c: c.isNotNull() & (c != "")))), F.expr(NONE))
+    return F.coalesce(F.array_sort(F.array_distinct(F.filter(F.transform(codes, lambda c: F.trim(c)), lambda c: c.isNotNull() & (c != "")))), F.expr(NONE))
 
 
 def canonical_codes(codes: Column) -> Column:

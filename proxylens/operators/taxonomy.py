@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,21 +24,24 @@ def _given(c: Column) -> Column:
 
 
 def normalize_taxonomy(df: DataFrame, version: str = "0.1.1") -> DataFrame:
-    """df with one array column of codes per dimension (fs … ob), source_format, needs_review; new columns win over old ones."""
-    codes = {"FS": F.array_compact(F.array(_given(_column(df, "fs_code")))), "IM": F.array_compact(F.array(_given(_column(df, "im_code"))))}
+    """df with one array column of codes per dimension (fs … ob), missing, source_format, needs_review.
+
+    New columns win over old ones. A record of which any dimension comes from its old column is `legacy` and
+    goes to review, as does one that lacks codes of a required dimension.
+    """
+    nothing = F.expr("cast(array() as array<string>)")
+    new = {"FS": F.array_compact(F.array(_given(_column(df, "fs_code")))), "IM": F.array_compact(F.array(_given(_column(df, "im_code"))))}
     for d, c in JSON_COLUMNS.items():
-        codes[d] = canonical_array(parse_codes(_column(df, c)))
-    has_new = (F.size(codes["FS"]) > 0) | (F.size(codes["UC"]) > 0)
-    legacy = {d: F.array_compact(F.array(_given(_column(df, c)))) for d, c in LEGACY.items()}
-    has_old = F.size(F.flatten(F.array(*legacy.values()))) > 0
-    out = df
+        new[d] = parse_codes(_column(df, c))
+    out, fell_back = df, F.lit(False)
     for d in config.DIMENSIONS:
-        old = legacy.get(d, F.expr("cast(array() as array<string>)"))
+        old = F.array_compact(F.array(_given(_column(df, LEGACY[d])))) if d in LEGACY else nothing
         old = F.filter(old, _starts(d)) if d in ("FS", "UC") else old
-        out = out.withColumn(d.lower(), F.when(F.size(codes[d]) > 0, codes[d]).otherwise(old))
+        out = out.withColumn(d.lower(), F.when(F.size(new[d]) > 0, new[d]).otherwise(old))
+        fell_back = fell_back | ((F.size(new[d]) == 0) & (F.size(old) > 0))
     missing = F.array_compact(F.array(*[F.when(F.size(d.lower()) < least, d) for d, (least, _) in config.DIMENSIONS.items()]))
-    form = F.when(has_new, "new").when(has_old, "legacy").otherwise("none")
-    return out.withColumn("missing", missing).withColumn("source_format", form).withColumn("needs_review", F.size("missing") > 0).withColumn("taxonomy_schema_version", F.coalesce(_column(df, "taxonomy_schema_version"), F.lit(version)))
+    out = out.withColumn("missing", missing).withColumn("source_format", F.when(fell_back, "legacy").otherwise("new"))
+    return out.withColumn("needs_review", (F.col("source_format") == "legacy") | (F.size("missing") > 0)).withColumn("taxonomy_schema_version", F.coalesce(_given(_column(df, "taxonomy_schema_version")), _given(_column(df, "taxonomy_version")), F.lit(version)))
 
 
 def _starts(dimension: str):
@@ -44,9 +49,15 @@ def _starts(dimension: str):
 
 
 def migration_status(df: DataFrame) -> DataFrame:
-    """has_new, legacy_only, missing, needs_migration for every record."""
-    seen = normalize_taxonomy(df)
-    return seen.withColumn("has_new", F.col("source_format") == "new").withColumn("legacy_only", F.col("source_format") == "legacy").withColumn("needs_migration", (F.col("source_format") != "new") | F.col("needs_review"))
+    """df with has_new, legacy_only, missing, needs_migration: what the columns as stored hold in the new form and in the old one."""
+    some = lambda c: F.coalesce(F.col(c) != "", F.lit(False)) if c in df.columns else F.lit(False)
+    new = {"FS": some("fs_code"), "IM": some("im_code")} | {d: F.size(parse_codes(_column(df, c))) > 0 for d, c in JSON_COLUMNS.items() if d != "OB"}
+    old = {d: some(c) for d, c in LEGACY.items() if d not in ("UC", "OB")}
+    old["FS"] = old["FS"] & F.coalesce(_column(df, "fs_uc_code") != "DEPRECATED", F.lit(False))
+    any_of = lambda parts: reduce(lambda a, b: a | b, parts)
+    missing = F.array_compact(F.array(*[F.when(~(new[d] | old.get(d, F.lit(False))), d) for d in ("FS", "IM", "UC", "DT", "CH", "RS", "LG")]))
+    out = df.withColumn("has_new", any_of(new.values())).withColumn("legacy_only", any_of(old.values()) & ~any_of(new.values())).withColumn("missing", missing)
+    return out.withColumn("needs_migration", F.col("legacy_only") | (F.size("missing") > 0))
 
 
 def to_legacy_codes(df: DataFrame) -> DataFrame:
@@ -116,7 +127,7 @@ def validate_assignment(df: DataFrame, dictionary: DataFrame, key: str) -> DataF
     pairs = F.array(*[F.struct(F.lit(d).alias("own"), F.col(d.lower()).alias("codes")) for d in config.DIMENSIONS])
     each = df.select(key, F.explode(pairs).alias("p")).select(key, "p.own", F.explode("p.codes").alias("code"))
     known = dictionary.select("code", F.col("dimension").alias("of"))
-    joined = each.join(F.broadcast(known), "code", "left")
+    joined = each.join(known, "code", "left")
     error = F.when(~F.coalesce(F.col("code").rlike(CODE), F.lit(False)), F.concat("own", F.lit(": bad form "), "code")).when(F.col("of").isNull(), F.concat("own", F.lit(": unknown code "), "code")).when(F.col("of") != F.col("own"), F.concat("own", F.lit(": foreign code "), "code"))
     found = by_size.union(joined.select(key, error.alias("error")).where(F.col("error").isNotNull())).groupBy(key).agg(F.array_sort(F.collect_set("error")).alias("errors"))
     return df.select(key).join(found, key, "left").select(key, F.coalesce("errors", F.expr("cast(array() as array<string>)")).alias("errors"))
