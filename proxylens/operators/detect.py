@@ -47,14 +47,15 @@ def sample_hit(run_id: str, rate: float) -> Column:
 def detect(df: DataFrame, run_id: str, a_bytes: int = config.DETECT["a_bytes"], burst_n: int = config.DETECT["burst_n"], window_s: int = config.DETECT["window_s"], cum_bytes: int = config.DETECT["cum_bytes"], rate: float = config.DETECT["rate"], categories: Sequence[str] = config.HIGH_RISK_CATEGORIES, methods: Sequence[str] = config.WRITE_METHODS) -> DataFrame:
     """df with burst_count, cumulative_bytes, is_a, is_b, is_c and candidate_flags (array).
 
-    One exchange by user and domain serves both windows.
+    Events are counted by user, domain, window and day; the two totals come from these counts and are joined
+    back, so that no user's events have to meet in one task.
     """
+    keys = ["user_id", "dest_domain", "_w", "_day"]
     events = prepare_events(df).withColumn("_w", window_start(window_s)).withColumn("_day", F.to_date("event_time"))
     allowed = F.col("action") == "allow"
-    dealt = events.repartition("user_id", "dest_domain")
-    burst = F.count(F.when(allowed & is_write(methods), 1)).over(Window.partitionBy("user_id", "dest_domain", "_w"))
-    total = F.coalesce(F.sum(F.when(allowed, F.col("bytes_sent"))).over(Window.partitionBy("user_id", "dest_domain", "_day")), F.lit(0))
-    seen = dealt.withColumn("burst_count", burst).withColumn("cumulative_bytes", total)
+    cells = events.groupBy(*keys).agg(F.count(F.when(allowed & is_write(methods), 1)).alias("writes"), F.sum(F.when(allowed, F.col("bytes_sent"))).alias("sent"))
+    totals = cells.select(*keys, F.sum("writes").over(Window.partitionBy("user_id", "dest_domain", "_w")).alias("burst_count"), F.coalesce(F.sum("sent").over(Window.partitionBy("user_id", "dest_domain", "_day")), F.lit(0)).alias("cumulative_bytes"))
+    seen = events.join(totals, keys)
     traced = F.col("ingest_lineage_hash") != ""
     is_burst, is_cumulative = F.col("burst_count") >= burst_n, F.col("cumulative_bytes") >= cum_bytes
     marked = seen.withColumn("is_a", traced & F.coalesce(allowed, F.lit(False)) & (F.col("bytes_sent") >= a_bytes))

@@ -1,4 +1,7 @@
-"""Host suffixes: every suffix match is an equi-join on exploded suffixes, never a nested loop."""
+"""Host suffixes: every suffix match is an equi-join on exploded suffixes, never a nested loop.
+
+Lookup tables carry no broadcast hint: Catalyst broadcasts them by their size in bytes, or shuffles.
+"""
 
 from __future__ import annotations
 
@@ -9,15 +12,6 @@ from pyspark.sql import functions as F
 
 from proxylens import config
 
-#: Most rows of a lookup table that is broadcast.
-MOST_LOOKUP = 500_000
-
-
-def small_side(df: DataFrame, most: int = MOST_LOOKUP) -> DataFrame:
-    """df marked for broadcast if it has at most `most` rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def suffixes_of(host: Column) -> Column:
     """a.b.c -> [a.b.c, b.c, c], without port."""
     labels = F.split(F.regexp_replace(host, ":[0-9]+$", ""), "\\.")
@@ -35,7 +29,7 @@ def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: s
     """df with the label before the longest public suffix and that suffix; the host where none fits. Works on distinct hosts."""
     hosts = df.select(F.col(host_col).alias("_host")).where(F.col("_host").isNotNull()).distinct()
     parts = hosts.select("_host", F.size(F.split("_host", "\\.")).alias("n"), F.posexplode(suffixes_of(F.col("_host"))).alias("pos", "suffix"))
-    found = parts.join(small_side(suffixes), "suffix")
+    found = parts.join(suffixes, "suffix")
     # labels that belong to the public suffix, from the right
     size = F.col("n") - F.col("pos") + F.when(F.col("kind") == "wildcard", 1).when(F.col("kind") == "exception", -1).otherwise(0)
     best = found.groupBy("_host", "n").agg(F.max_by(size, F.struct(F.col("kind") == "exception", size)).alias("size"))

@@ -16,7 +16,10 @@ def lineage_hash(df: DataFrame, columns: list[str], file_col: str) -> DataFrame:
     """df with ingest_lineage_hash of file, sorted items and the ordinal among equal rows of the file: unique and the same on every run."""
     items = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0"))) for c in sorted(columns)]
     content = df.withColumn("_content", F.sha2(F.concat_ws("\x1f", F.col(file_col), *items), 256))
-    numbered = content.withColumn("_n", F.row_number().over(Window.partitionBy("_content").orderBy(F.lit(1))))
+    repeated = content.groupBy("_content").count().where("count > 1").select("_content")
+    single = content.join(repeated, "_content", "left_anti").withColumn("_n", F.lit(1))
+    several = content.join(repeated, "_content", "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy("_content").orderBy(F.lit(1))))
+    numbered = single.unionByName(several)
     return numbered.withColumn("ingest_lineage_hash", F.sha2(F.concat_ws("|", "_content", "_n"), 256)).drop("_content", "_n")
 
 

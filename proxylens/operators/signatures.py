@@ -67,6 +67,12 @@ def punycode_hosts(df: DataFrame, host_col: str) -> DataFrame:
 
 
 def normalize_urls(df: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:
+    """df with the columns of normalized_urls; each distinct url is normalised once."""
+    urls = normalized_urls(df.select(F.col(url_col).alias("_url")).distinct(), "_url", keep_keys, idn)
+    return df.join(urls, F.col(url_col).eqNullSafe(F.col("_url"))).drop("_url")
+
+
+def normalized_urls(df: DataFrame, url_col: str, keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:
     """df with norm_host, norm_path, norm_query, norm_url, pii_hits, original_path, original_query.
 
     pii_hits holds every redaction rule that hit path or query and sensitive parameters; an e-mail
