@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from proxylens import config
 from proxylens.operators.rules import RISKS
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -62,7 +63,7 @@ def rule_accuracy(classified: DataFrame, expected: DataFrame, least: float = 0.9
 def check_idempotent(first: DataFrame, second: DataFrame) -> DataFrame:
     """Rows that are in one table and not in the other, repeats counted."""
     tagged = first.withColumn("_n", F.lit(1)).union(second.withColumn("_n", F.lit(-1)))
-    uneven = tagged.groupBy(*first.columns).agg(F.sum("_n").alias("n")).where("n != 0")
+    uneven = tagged.groupBy(*first.columns).agg(F.sum("_n").alias("_balance")).where("_balance != 0")
     return verdict(uneven.agg(F.count("*").alias("violations")), "idempotent")
 
 
@@ -76,6 +77,11 @@ def check_canonical(df: DataFrame) -> DataFrame:
         "event_time": F.col("event_time").isNotNull(),
         "user_id": F.coalesce("user_id", F.lit("")) != "",
         "dest_host": F.coalesce("dest_host", F.lit("")) != "",
+        "dest_domain": F.coalesce("dest_domain", F.lit("")) != "",
+        "vendor": F.coalesce(F.col("vendor").isin(list(config.VENDORS)), F.lit(False)),
+        "log_type": F.coalesce("log_type", F.lit("")) != "",
+        "status_code": F.col("status_code").isNull() | F.col("status_code").between(100, 599),
+        "http_method": F.col("http_method").isNull() | F.col("http_method").rlike("^[A-Z]+$"),
     }
     rows = F.array(*[F.struct(F.lit(n).alias("name"), F.count_if(~F.coalesce(t, F.lit(False))).alias("violations")) for n, t in tests.items() if n == "lineage" or n in df.columns])
     return df.agg(rows.alias("r")).select(F.explode("r").alias("r")).select("r.name", "r.violations", (F.col("r.violations") == 0).alias("ok"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from proxylens.operators.taxonomy import normalize_taxonomy
 from proxylens import config
 
 CLASS = ["service_name", "usage_type", "risk_level", "category"]
@@ -172,6 +173,25 @@ def evidence_rows(stats: DataFrame, cache: DataFrame) -> DataFrame:
     return joined.select("url_signature", *[F.coalesce(c, F.lit(b)).alias(c) for c, b in BLANKS.items()], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("access_count", "unique_users", "bytes_sent_sum")], F.array_join("candidate_flags", "|").alias("candidate_flags"))
 
 
+def evidence_by_dimension(stats: DataFrame, cache: DataFrame) -> DataFrame:
+    """Statistics with the class and the codes of all eight dimensions, from new columns or old ones, with what that says of the record."""
+    facts = stats.select("url_signature", *[F.coalesce(c, F.lit("")).alias(c) for c in ("norm_host", "norm_path_template", "dest_domain")], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("bytes_sent_sum", "access_count", "unique_users")], F.array_join("candidate_flags", "|").alias("candidate_flags"), *[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) for c in ("first_seen", "last_seen")])
+    own = [c for c in cache.columns if c not in facts.columns or c == "url_signature"]
+    joined = normalize_taxonomy(facts.join(cache.select(*own), "url_signature", "left"))
+    blanks = {"service_name": "Unknown", "category": "", "usage_type": "unknown", "risk_level": "medium", "classification_source": "UNKNOWN"}
+    filled = [F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(b)).alias(c) for c, b in blanks.items()]
+    single = [F.coalesce(F.try_element_at(d, F.lit(1)), F.lit("")).alias(f"{d}_code") for d in ("fs", "im")]
+    many = [F.col(d).alias(f"{d}_codes") for d in ("uc", "dt", "ch", "rs", "lg", "ob")]
+    return joined.select(*facts.columns, *filled, F.coalesce("confidence", F.lit(0.0)).alias("confidence"), *single, *many, F.col("taxonomy_schema_version").alias("taxonomy_version"), "needs_review", "source_format")
+
+
+def taxonomy_assignments(evidence: DataFrame) -> DataFrame:
+    """A row for each signature of evidence_by_dimension: its class and a map of dimension to codes."""
+    one = lambda c: F.filter(F.array(c), lambda x: x != "")
+    codes = [x for d in ("FS", "IM", "UC", "DT", "CH", "RS", "LG", "OB") for x in (F.lit(d), one(F.col(f"{d.lower()}_code")) if d in ("FS", "IM") else F.col(f"{d.lower()}_codes"))]
+    return evidence.select("url_signature", "service_name", "usage_type", "risk_level", "confidence", "classification_source", F.create_map(*codes).alias("codes"))
+
+
 def discovery_log(evidence: DataFrame) -> DataFrame:
     """What was found and what is decided: high is blocked, low allowed, the rest reviewed."""
     risk = F.col("risk_level")

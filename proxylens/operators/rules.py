@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxylens import config
-from proxylens.operators.domains import small_side, suffixes_of
+from proxylens.functions.codes import valid_code_format
+from proxylens.operators.domains import suffixes_of
+from proxylens.operators.taxonomy import JSON_COLUMNS, normalize_taxonomy
 
 RULE = (
     "rule_id string, priority int, enabled boolean, service_name string, usage_type string, risk_level string, category string, rationale string, rule_version string, "
@@ -48,13 +50,13 @@ def codes_complete():
 
 def rule_candidates(sigs: DataFrame, rules: DataFrame) -> DataFrame:
     """url_signature, tier, reason and the rule's columns for every rule that fits."""
-    rules = small_side(rules.withColumn("needs_taxonomy", ~codes_complete()))
+    rules = rules.withColumn("needs_taxonomy", ~codes_complete())
     kept = [c for c in rules.columns if c != "enabled"]
     exact = rules.select(F.explode("url_signatures").alias("url_signature"), *kept)
-    tier1 = sigs.select("url_signature").join(F.broadcast(exact), "url_signature").withColumn("tier", F.lit(1)).withColumn("match_reason", F.lit("signature_exact"))
+    tier1 = sigs.select("url_signature").join(exact, "url_signature").withColumn("tier", F.lit(1)).withColumn("match_reason", F.lit("signature_exact"))
     hosts = sigs.select("url_signature", "norm_host", "norm_path_template", F.explode(suffixes_of(F.col("norm_host"))).alias("key"))
     lookup = rules.select(F.explode("domain_exact").alias("key"), F.lit(True).alias("whole"), *kept).union(rules.select(F.explode("domain_suffixes").alias("key"), F.lit(False).alias("whole"), *kept))
-    met = hosts.join(F.broadcast(lookup), "key").where(~F.col("whole") | (F.col("key") == F.regexp_replace("norm_host", ":[0-9]+$", "")))
+    met = hosts.join(lookup, "key").where(~F.col("whole") | (F.col("key") == F.regexp_replace("norm_host", ":[0-9]+$", "")))
     template = F.lower("norm_path_template")
     by_path = F.exists("path_prefix", lambda p: template.startswith(F.lower(F.regexp_replace(p, "\\*$", ""))))
     by_regex = F.exists("url_regex", lambda r: F.regexp_like(F.concat("norm_host", "norm_path_template"), F.concat(F.lit("(?i)"), r)))
@@ -113,13 +115,26 @@ def apply_overrides(df: DataFrame, entries: Sequence[dict] | DataFrame) -> DataF
     if not isinstance(entries, DataFrame):
         rows = [(e.get("domain_suffix") or e["domain_exact"], "domain_exact" in e, e.get("risk"), e.get("usage"), bool(e.get("block"))) for e in entries]
         entries = df.sparkSession.createDataFrame(rows, "key string, whole boolean, o_risk string, o_usage string, block boolean")
-    table = small_side(entries)
     hosts = df.select("norm_host").distinct().select("norm_host", F.explode(suffixes_of(F.col("norm_host"))).alias("key"))
-    best = hosts.join(table, "key").where(~F.col("whole") | (F.col("key") == F.col("norm_host"))).groupBy("norm_host").agg(F.max_by(F.struct("o_risk", "o_usage"), F.struct("block", F.length("key"))).alias("o"))
+    best = hosts.join(entries, "key").where(~F.col("whole") | (F.col("key") == F.col("norm_host"))).groupBy("norm_host").agg(F.max_by(F.struct("o_risk", "o_usage"), F.struct("block", F.length("key"))).alias("o"))
     joined = df.join(best, "norm_host", "left")
     return joined.withColumn("risk_level", F.coalesce("o.o_risk", "risk_level")).withColumn("usage_type", F.coalesce("o.o_usage", "usage_type")).withColumn("overridden", F.col("o").isNotNull()).drop("o")
 
 
+def _of(dimension: str):
+    return lambda code: valid_code_format(code, dimension)
+
+
+def from_old_codes(df: DataFrame) -> DataFrame:
+    """df with the code columns of all eight dimensions, taken from the old columns where they are not there or empty."""
+    json_of = {c: F.to_json(F.coalesce(F.col(f"{d.lower()}_codes"), F.expr("cast(array() as array<string>)"))) for d, c in JSON_COLUMNS.items() if f"{d.lower()}_codes" in df.columns}
+    seen = normalize_taxonomy(df.withColumns(json_of))
+    out = df.drop("fs_code", "im_code", *[f"{d.lower()}_codes" for d in JSON_COLUMNS])
+    keep = [F.col(c) for c in out.columns]
+    codes = [F.try_element_at(d, F.lit(1)).alias(f"{d}_code") for d in ("fs", "im")] + [F.col(d.lower()).alias(f"{d.lower()}_codes") for d in JSON_COLUMNS]
+    return seen.select(*keep, *codes)
+
+
 def classification_faults(df: DataFrame) -> DataFrame:
     """df with the names of the fields that do not conform."""
     tests = {
@@ -130,13 +145,17 @@ def classification_faults(df: DataFrame) -> DataFrame:
         "rationale": F.length("rationale") <= 400,
         "confidence": F.col("confidence").between(0, 1),
     }
+    for d in config.DIMENSIONS:
+        name = f"{d.lower()}_code" if d in ("FS", "IM") else f"{d.lower()}_codes"
+        if name in df.columns:
+            tests[name] = valid_code_format(F.col(name), d) if d in ("FS", "IM") else F.forall(name, _of(d))
     return df.withColumn("faults", F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in tests.items() if name in df.columns])))
 
 
 def ingest_model_results(df: DataFrame, fallbacks: DataFrame) -> DataFrame:
-    """Outside classifications: missing codes filled from the fallbacks, faults sent to review."""
+    """Outside classifications: old codes in the form of eight dimensions, missing ones filled from the fallbacks, faults sent to review."""
     codes = {r.dimension: r.code for r in fallbacks.collect()}  # eight rows
-    out = df
+    out = from_old_codes(df)
     for d in config.DIMENSIONS:
         name = f"{d.lower()}_code" if d in ("FS", "IM") else f"{d.lower()}_codes"
         default = F.lit(codes.get(d, f"{d}-099"))

@@ -35,13 +35,9 @@ def read_vendor_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def read_vendor(spark: SparkSession, path: str) -> DataFrame:
     """All files of a folder or one file, each by its suffix, under one set of columns."""
-    names = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()] if "." not in path.rsplit("/", 1)[-1] else [path]
-    kinds = {"json": read_vendor_json, "jsonl": read_vendor_jsonl}
-    found = {n.rsplit(".", 1)[-1] for n in names}
-    parts = [kinds[k](spark, path) for k in sorted(found & set(kinds))]
-    if found - set(kinds):
-        glob = "*.csv" if "csv" in found else "*"
-        parts.append(read_vendor_csv(spark, path, glob=glob))
+    readers = {"*.json": read_vendor_json, "*.jsonl": read_vendor_jsonl, "*.csv": read_vendor_csv}
+    there = lambda glob: not spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path").isEmpty()
+    parts = [read(spark, path) for glob, read in readers.items() if there(glob)] or [read_vendor_csv(spark, path, glob="*")]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -68,11 +64,15 @@ def read_events(spark: SparkSession, base: str, vendor: str | None = None, start
     return df
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """file, size, modified, file_hash, file_id."""
+def file_inventory(spark: SparkSession, path: str, events: DataFrame | None = None, vendor: str | None = None) -> DataFrame:
+    """file, size, modified, file_hash, file_id, vendor; with the events read from the files also row_count, min_time and max_time."""
     files = spark.read.format("binaryFile").load(path)
     ident = F.sha2(F.concat_ws("|", "path", "length", F.unix_seconds("modificationTime")), 256)
-    return files.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("file_hash"), ident.alias("file_id"))
+    out = files.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("file_hash"), ident.alias("file_id"), F.lit(vendor).cast("string").alias("vendor"))
+    if events is None:
+        return out
+    per = events.groupBy(F.col("ingest_file").alias("file")).agg(F.count("*").alias("row_count"), F.min("event_time").alias("min_time"), F.max("event_time").alias("max_time"))
+    return out.join(per, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
 def stable_new_files(spark: SparkSession, path: str, as_of: str, seen: DataFrame, quiet_s: int = 60, include: str = ".*", exclude: str = "^$") -> DataFrame:

@@ -12,12 +12,21 @@ from proxylens.operators.events import split_rejects, to_canonical
 
 
 def stream_ingest(spark: SparkSession, path: str, vendor: str, out: str, checkpoint: str, schema: str, per_trigger: int = 100) -> DataStreamWriter:
-    """New CSV files of a folder to Parquet by vendor and date. A batch that is run again replaces its own files: each writes to a folder of its number."""
+    """New CSV files of a folder to Parquet by vendor and date, each lineage once.
+
+    A batch that is run again replaces its own files: each writes to a folder of its number. Lineages that an
+    earlier batch has written, on the dates that the batch touches, are left out.
+    """
     raw = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", per_trigger).csv(path).withColumn("_file", F.col("_metadata.file_path"))
 
     def write(batch: DataFrame, number: int) -> None:
         good, _ = split_rejects(to_canonical(batch, vendor))
         dated = good.dropDuplicates(["ingest_lineage_hash"]).withColumn("date", F.to_date("event_time")).withColumn("batch", F.lit(number))
+        spark = batch.sparkSession
+        if number and not spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(out).select("path").isEmpty():
+            days = dated.select("date").distinct()
+            earlier = spark.read.parquet(out).where(F.col("batch") < number).join(days, "date", "left_semi")
+            dated = dated.join(earlier.select("ingest_lineage_hash").distinct(), "ingest_lineage_hash", "left_anti")
         dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "vendor", "date").parquet(out)
 
     return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
