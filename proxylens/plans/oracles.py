@@ -38,8 +38,18 @@ ev AS (SELECT det.*, act.* EXCLUDE (url_signature) FROM det LEFT JOIN act USING
 costs AS (SELECT url_signature, 'run' || ((strpos('0123456789abcdef', substr(url_signature, 3, 1)) - 1) % 3) AS run_id, min(event_time) AS at_time, (100 * count(*) / 1000 * 0.01::DOUBLE + 200 * count(*) / 1000 * 0.03::DOUBLE) * 1.2::DOUBLE AS cost_usd FROM sig GROUP BY url_signature),
 days AS (SELECT strftime(event_time, '%Y-%m-%d') AS day, sum(bytes_sent)::BIGINT AS size, strftime(min(event_time), '%Y-%m-%d %H:%M:%S') AS min_time, strftime(max(event_time), '%Y-%m-%d %H:%M:%S') AS max_time FROM log GROUP BY 1),
 files AS (SELECT *, 'proxy' AS vendor, sha256(day) AS file_hash, sha256(day || '|' || size) AS file_id, 'run' || (day(day::DATE) % 3) AS run_id FROM days),
-used AS (SELECT user_id, user_dept AS department, coalesce(service_name, 'Unknown') AS service, count(*) AS accesses FROM ev WHERE usage_type = 'genai' OR usage_type IS NULL GROUP BY 1, 2, 3),
-spend AS (SELECT *, 15.0::DOUBLE AS monthly_cost FROM used)
+used AS (SELECT user_id, user_dept AS department, coalesce(CASE WHEN service_name = 'GenSite' THEN CASE WHEN strpos('0123456789abcdef', substr(url_signature, 3, 1)) - 1 < 8 THEN 'Claude' ELSE 'DeepL' END ELSE service_name END, 'Unknown') AS service, count(*) AS accesses FROM ev WHERE usage_type = 'genai' OR usage_type IS NULL GROUP BY 1, 2, 3),
+spend AS (SELECT *, CASE WHEN service = 'Claude' THEN 20.0 WHEN service = 'DeepL' THEN 6.99 ELSE 15.0 END::DOUBLE AS monthly_cost FROM used),
+raw0 AS (SELECT event_id AS k, CASE WHEN event_id % 50 <> 0 THEN strftime(event_time, '%Y-%m-%d %H:%M:%S') END AS event_time, CASE WHEN event_id % 40 <> 7 THEN user_id END AS user_id, '10.0.' || (event_id % 256) || '.1' AS src_ip, CASE WHEN event_id % 60 <> 11 THEN url_full END AS url_full,
+  CASE WHEN event_id % 20 IN (3, 4) THEN 0 ELSE greatest(bytes_sent, 0) END AS bytes_sent, greatest(bytes_received, 0) AS bytes_received, ['allow', 'block', 'allow', 'unknown'][(event_id % 4 + 1)::INT] AS action, http_method, app_category FROM log),
+vendor_log AS (SELECT *, regexp_replace(trim(url_full), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM (SELECT * FROM raw0 UNION ALL SELECT * FROM raw0 WHERE k % 100 = 1)),
+canon AS (SELECT * EXCLUDE (bare), nullif(lower(regexp_replace(regexp_extract(bare, '^([^/?#]*)', 1), '^.*@', '')), '') AS dest_host, nullif(regexp_extract(bare, '^[^/?#]*([^?#]*)', 1), '') AS url_path, nullif(regexp_extract(url_full, '^[^?#]*\?([^#]*)', 1), '') AS url_query FROM vendor_log),
+judged AS (SELECT *, CASE WHEN event_time IS NULL THEN 'no event_time' WHEN user_id IS NULL THEN 'no user_id' WHEN dest_host IS NULL THEN 'no dest_host' END AS reject_reason FROM canon),
+dig AS (SELECT *, list_transform(range(1, 13), lambda i: strpos('0123456789abcdef', substr(url_signature, i, 1)) - 1) AS d FROM cls),
+rec AS (SELECT url_signature, norm_host, d, CASE WHEN d[4] < 8 THEN ['FS-001'] WHEN d[4] IN (10, 11, 12) THEN ['FS-002'] ELSE []::VARCHAR[] END AS fs, CASE WHEN d[6] < 8 THEN ['UC-002', 'UC-001', 'UC-002'] WHEN d[4] = 13 THEN ['UC-003'] ELSE []::VARCHAR[] END AS uc,
+  CASE WHEN d[7] < 6 THEN ['DT-001'] ELSE ['DT-002'] END AS dt, CASE WHEN d[8] > 0 THEN ['CH-001'] ELSE []::VARCHAR[] END AS ch, CASE WHEN d[5] < 14 THEN ['IM-001'] ELSE []::VARCHAR[] END AS im, CASE WHEN d[9] < 15 THEN ['RS-001', 'RS-002'] ELSE []::VARCHAR[] END AS rs, CASE WHEN d[10] < 12 THEN ['LG-001'] ELSE ['LG-002'] END AS lg,
+  d[4] IN (10, 11, 12) OR (d[6] >= 8 AND d[4] = 13) OR d[7] >= 6 OR d[10] >= 12 AS legacy FROM dig),
+recs AS (SELECT *, list_filter([CASE WHEN len(fs) = 0 THEN 'FS' END, CASE WHEN len(uc) = 0 THEN 'UC' END, CASE WHEN len(ch) = 0 THEN 'CH' END, CASE WHEN len(im) = 0 THEN 'IM' END, CASE WHEN len(rs) = 0 THEN 'RS' END], lambda x: x IS NOT NULL) AS missing FROM rec)
 """
 # The redaction rules, in order.
 RULES = [

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxylens.operators import budget, detect, domains, rules, signatures, stats
+from proxylens.sources.scratch import saved
 
 #: Thresholds for these tables; the package's defaults never fire on them.
 RUN = "run1"
@@ -25,8 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events joined to pages: what a proxy would have logged."""
     events, pages = table(spark, sf_dir, "events"), table(spark, sf_dir, "pages").select("page_id", "url")
-    n = pages.count()
-    joined = events.join(pages, F.col("event_id") % n == F.col("page_id"))
+    n = pages.agg(F.count("*")).scalar()  # found when the query runs
+    joined = events.withColumn("page_id", F.col("event_id") % n).join(pages, "page_id")
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int") % 5
     category = F.when(k == 0, "GenAI").when(k == 1, "AI").when(k == 2, "Unknown").when(k == 3, "Business").when(k == 4, "Storage")
@@ -39,7 +40,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    normal = signatures.normalize_urls(log(spark, sf_dir), idn=False)
+    normal = signatures.normalize_urls(log(spark, sf_dir))
     return domains.registrable_domain(signatures.add_signature(normal), "norm_host", domains.suffix_table(spark))
 
 
@@ -71,6 +72,38 @@ def cache_of(found: DataFrame) -> DataFrame:
     )
 
 
+def statistics_and_cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The statistics, written once, and the cache of their signatures."""
+    stats_ = saved(statistics(spark, sf_dir), "statistics")
+    return stats_, cache_of(stats_.select("url_signature", "norm_host", "norm_path_template"))
+
+
+def digit(place: int):
+    """The signature's hexadecimal digit at a place, 0 to 15."""
+    return F.instr(F.lit("0123456789abcdef"), F.substring("url_signature", place, 1)) - 1
+
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a firewall writes it: strings, with blanks, odd values and rows that occur twice."""
+    k = F.col("event_id")
+    rows = log(spark, sf_dir).select(
+        k.cast("string").alias("event_id"), F.when(k % 50 == 0, "").otherwise(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")).alias("start"), F.when(k % 40 == 7, "   ").otherwise(F.col("user_id")).alias("srcuser"),
+        F.concat(F.lit("10.0."), k % 256, F.lit(".1")).alias("src"), F.when(k % 60 != 11, F.col("url_full")).alias("url"), F.when(k % 20 == 3, "x").when(k % 20 == 4, "-5").otherwise(F.col("bytes_sent").cast("string")).alias("bytes_sent"),
+        F.col("bytes_received").cast("string").alias("bytes_received"), F.element_at(F.array(*map(F.lit, ("ALLOW", "deny", " alert ", "other"))), (k % 4 + 1).cast("int")).alias("action"), F.lower("http_method").alias("http_method"), F.col("app_category").alias("url_category"),
+    )
+    return rows.union(rows.where(F.col("event_id").cast("long") % 100 == 1))
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored classification for each signature, in the new form, the old one, or between."""
+    d4, d6, d7, d10 = digit(4), digit(6), digit(7), digit(10)
+    return sites(spark, sf_dir).select(
+        "url_signature", "norm_host", "norm_path_template", F.when(d4 < 8, "FS-001").alias("fs_code"), F.when(d4.isin(10, 11, 12), "FS-002").when(d4 == 13, "UC-003").when(d4 == 14, "DEPRECATED").alias("fs_uc_code"), F.when(digit(5) < 14, "IM-001").alias("im_code"),
+        F.when(d6 < 8, '["UC-002","UC-001","UC-002",5]').when(d6 < 10, "nonsense").alias("uc_codes_json"), F.when(d7 < 6, '["DT-001"]').when(d7 < 8, "[]").alias("dt_codes_json"), F.when(d7 >= 4, "DT-002").alias("dt_code"), F.when(digit(8) > 0, '["CH-001"]').alias("ch_codes_json"),
+        F.when(digit(9) < 15, '["RS-001","RS-002"]').alias("rs_codes_json"), F.when(d10 < 12, '["LG-001"]').alias("ev_codes_json"), F.when(d10 >= 8, "LG-002").alias("ev_code"),
+    )
+
+
 def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What it would have cost to ask for every signature: run_id, at, cost_usd."""
     digit = F.instr(F.lit("0123456789abcdef"), F.substring("url_signature", 3, 1)) - 1

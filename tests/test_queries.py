@@ -39,9 +39,24 @@ def test_entry_is_the_flagship(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_detection_uses_one_exchange_for_both_windows(spark):
-    from proxylens.operators import detect
+def test_planning_starts_no_jobs(spark):
+    """Frames over the log are built without running anything."""
     from proxylens.plans import proxylog
 
-    plan = detect.detect(proxylog.log(spark, SF).withColumn("dest_domain", proxylog.F.col("url_full")), "r")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(user_id") == 1
+    group = "planning"
+    spark.sparkContext.setJobGroup(group, group)
+    proxylog.flagged(spark, SF)
+    proxylog.cache(spark, SF)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+
+
+@pytest.mark.parametrize("name", ["risk_map", "executive_kpi", "taxonomy_records", "canonical_events", "quality_checks"])
+def test_equals_sql_on_more_rows(spark, name):
+    """At sf0.01, where groups without any class occur."""
+    sf = SF.replace("0.001", "0.01")
+    con = duckdb.connect()
+    for f in os.listdir(sf):
+        con.sql(f"create view {f.removesuffix('.parquet')} as select * from '{sf}/{f}'")
+    df, found = registry.QUERIES[name](spark, sf), con.sql(registry.ORACLES[name])
+    columns = sorted(df.columns)
+    assert plain([r.asDict() for r in df.collect()], columns) == plain([dict(zip(found.columns, row, strict=True)) for row in found.fetchall()], columns)

@@ -57,6 +57,16 @@ def test_detection_boundaries(spark):
     assert 0 < risky.where("is_c").count() < 300 and {r.ingest_lineage_hash for r in risky.where("is_c").collect()} == {r.ingest_lineage_hash for r in risky.where("is_c").collect()}
 
 
+def test_detection_of_a_hot_pair_counts_cells(spark):
+    """A third of all events by one user on one domain: the windows run over counts, not over events."""
+    rows = [{"event_time": dt.datetime(2024, 1, 15) + dt.timedelta(seconds=i), "bytes_sent": 1000, "http_method": "POST" if i % 2 else "GET"} for i in range(600)] + [{"user_id": f"u{i}"} for i in range(300)]
+    found = detect.detect(made(spark, rows), "r")
+    hot = found.where("user_id = 'user1'").agg(F.min("burst_count").alias("lo"), F.max("burst_count").alias("hi"), F.min("cumulative_bytes").alias("sent")).first()
+    assert (hot.lo, hot.hi, hot.sent) == (150, 150, 600_000) and found.count() == 900
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "Aggregate" in plan.split("Window [")[-1]
+
+
 # header, row, then what is expected: user, action, bytes sent, host
 SAMPLES = {
     "paloalto": ("start,srcuser,src,url,bytes_sent,action,http_method", "2024-01-15T10:00:00Z,ann,10.0.0.1,https://a.com/x,10,allow,GET", ("ann", "allow", 10, "a.com")),
@@ -83,6 +93,41 @@ def test_vendor_rows(spark, tmp_path, vendor):
     assert logs.read_events(spark, str(tmp_path / "out"), vendor, "2024-01-15", "2024-01-15").count() == 2
 
 
+def test_json_readers(spark, tmp_path):
+    """An array of objects, one object, and lines of objects, all under one set of columns."""
+    (tmp_path / "a.json").write_text('[{"timestamp": "2024-01-15T10:00:00Z", "user": "ann", "url": "https://a.com/x", "action": "allowed", "cs-bytes": 5}, {"timestamp": "2024-01-15T10:00:01Z", "user": "bob", "url": "b.com", "n": null}]')
+    (tmp_path / "b.json").write_text('{"timestamp": "2024-01-15T10:00:02Z", "user": "cy", "url": "c.com"}')
+    (tmp_path / "c.jsonl").write_text('{"timestamp": "2024-01-15T10:00:03Z", "user": "dee", "url": "d.com"}\n{"timestamp": "2024-01-15T10:00:04Z", "user": "eve", "url": "e.com", "cs-bytes": "7"}\n')
+    good, _ = events.split_rejects(events.to_canonical(logs.read_vendor(spark, str(tmp_path)), "netskope"))
+    assert sorted((r.user_id, r.bytes_sent) for r in good.collect()) == [("ann", 5), ("bob", 0), ("cy", 0), ("dee", 0), ("eve", 7)]
+    (tmp_path / "d.csv").write_text("timestamp,user,url\n2024-01-15T10:00:05Z,flo,f.com\n")
+    assert logs.read_vendor(spark, str(tmp_path)).count() == 6
+
+
+def test_exports_and_checksums(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "name string, n long")
+    logs.write_sanitized_csv(df, str(tmp_path / "csv"))
+    logs.write_report_json(df, str(tmp_path / "json"))
+    assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2 and spark.read.json(str(tmp_path / "json")).where("n = 2").count() == 1
+    manifest = logs.file_inventory(spark, str(tmp_path / "json/*.json")).select("file", "file_hash").cache()
+    assert manifest.count() and logs.verify_checksums(spark, str(tmp_path / "json/*.json"), manifest).count() == 0
+    assert logs.verify_checksums(spark, str(tmp_path / "json/*.json"), manifest.withColumn("file_hash", F.lit("0"))).count() == manifest.count()
+
+
+def test_stable_new_files(spark, tmp_path):
+    for name in ("old.csv", "seen.csv", "x.tmp"):
+        (tmp_path / name).write_text("a\n")
+    seen = spark.createDataFrame([(f"file:{tmp_path}/seen.csv",)], "file string")
+    later = (dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)).strftime("%Y-%m-%d %H:%M:%S")
+    assert [r.file.rsplit("/", 1)[1] for r in logs.stable_new_files(spark, str(tmp_path), later, seen, exclude="tmp$").collect()] == ["old.csv"]
+
+
+def test_migration_status(spark):
+    rows = [("FS-001", "IM-001", '["UC-001"]', None, None), (None, None, None, "DEPRECATED", "DT-001"), (None, None, "x", "FS-002", None)]
+    got = taxonomy.migration_status(spark.createDataFrame(rows, "fs_code string, im_code string, uc_codes_json string, fs_uc_code string, dt_code string")).collect()
+    assert [(r.has_new, r.legacy_only, r.missing) for r in got] == [(True, False, ["DT", "CH", "RS", "LG"]), (False, True, ["FS", "IM", "UC", "CH", "RS", "LG"]), (False, True, ["IM", "UC", "DT", "CH", "RS", "LG"])]
+
+
 def test_domains(spark):
     df = spark.createDataFrame([("a.b.co.jp",), ("x.com",), ("com",), ("q.w.ck",), ("www.ck",), ("local",), ("h.com:81",)], "host string")
     got = {r.host: r.dest_domain for r in domains.registrable_domain(df, "host", domains.suffix_table(spark)).collect()}
@@ -118,7 +163,9 @@ def test_codes(spark):
     assert [r.c for r in df.select(codes.canonical_codes(codes.parse_codes(F.col("j"))).alias("c")).collect()] == ['["UC-001","UC-002"]', "[]", "[]"]
     record = spark.createDataFrame([("k", "FS-001", "IM-001", '["UC-001"]', "DT-009", None)], "k string, fs_code string, im_code string, uc_codes_json string, dt_code string, ch_code string")
     got = taxonomy.normalize_taxonomy(record).first()
-    assert (got.fs, got.dt, got.source_format, got.missing) == (["FS-001"], ["DT-009"], "new", ["CH", "RS", "LG"])
+    # one dimension from its old column makes the record legacy
+    assert (got.fs, got.dt, got.source_format, got.missing, got.needs_review) == (["FS-001"], ["DT-009"], "legacy", ["CH", "RS", "LG"], True)
+    assert [r.c for r in spark.createDataFrame([(["UC-002", " UC-001 ", "UC-011"],)], "a array<string>").select(codes.canonical_codes(F.col("a")).alias("c")).collect()] == ['["UC-001","UC-002","UC-011"]']
     dictionary = taxonomy.load_dictionary(spark)
     assert {r.dimension: r.code for r in taxonomy.fallback_codes(dictionary).collect()}["UC"] == "UC-099"
     errors = taxonomy.validate_assignment(taxonomy.normalize_taxonomy(record), dictionary, "k").first().errors
