@@ -5,9 +5,9 @@ two runs Fisher-Yates over each whole bucket. The shard follows the law `key`: i
 hash with doc_id is largest, so a further shard takes rows only into itself. A shard has as many buckets as
 its bytes need, so that a hot shard (a third of all rows without doc_id, say) has more of them.
 
-Where a row goes within its shard is decided by the hash of all its columns; rows that are equal in all
-columns are told apart by their number, so that they spread as well, and the result is the same from run to
-run. Null doc_id: all such rows share a shard. Null text counts as empty. Texts of any length stay whole.
+Where a row goes within its shard is decided by the hash of all its columns, so the result is the same from
+run to run. Rows that are equal in all columns share a bucket; where they would take more than a quarter of
+it, they are told apart by their number and spread. Null doc_id: all such rows share a shard. Null text counts as empty. Texts of any length stay whole.
 Repeated rows keep one slot each. Empty input gives no rows. Input columns, whatever their names, pass
 through; only a clashing `shard` or `slot` column of the input is replaced.
 """
@@ -80,7 +80,8 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 24, seed: int = 2024060
     docs = docs.drop("shard", "slot")
     rows = docs.select(F.struct("*").alias("row"), shard_of(n_shards, seed).alias("shard"), record_size().alias("size"), row_hash(docs, seed).alias("tie"))
     slim = saved(rows.groupBy("shard", "tie").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")), "shard-ties")
-    repeated = saved(slim.where("rows > 1").select("tie"), "shard-repeats")
+    # equal rows may share a bucket until they weigh on it
+    repeated = saved(slim.where((F.col("rows") > 1) & (F.col("bytes") > bucket_bytes // 4)).select("tie"), "shard-repeats")
     if not repeated.isEmpty():
         repeated = broadcast_if_small(repeated, MOST_REPEATED)
         several = numbered(rows.join(repeated, "tie", "left_semi"), ["tie"]).withColumn("tie", F.xxhash64(F.lit(seed), "tie", "_n"))
