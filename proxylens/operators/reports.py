@@ -249,6 +249,31 @@ def dashboard_series(events: DataFrame, cache: DataFrame) -> DataFrame:
     return joined.select("bytes_sent", F.explode(pairs).alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("events"), F.sum("bytes_sent").alias("bytes_sent"))
 
 
+def dashboard_periods(events: DataFrame, cache: DataFrame) -> DataFrame:
+    """kind, start and the counts and shares of each day and each week, in one pass."""
+    at = lambda unit: F.date_format(F.date_trunc(unit, "event_time"), "yyyy-MM-dd")
+    periods = F.array(*[F.struct(F.lit(k).alias("kind"), at(u).alias("start")) for k, u in (("daily", "day"), ("weekly", "week"))])
+    each = with_class(events, cache).select("user_id", "usage_type", "risk_level", "bytes_sent", F.explode(periods).alias("p"))
+    n, genai, high = F.count("*"), F.count_if(F.col("usage_type") == "genai"), F.count_if(F.col("risk_level") == "high")
+    counts = [n.alias("total_events"), F.count_distinct("user_id").alias("unique_users"), genai.alias("genai_events"), high.alias("high_risk_events"), F.sum("bytes_sent").alias("bytes_sent_total")]
+    unknown = F.count_if(F.coalesce("usage_type", F.lit("unknown")) == "unknown")
+    return each.groupBy("p.kind", "p.start").agg(*counts, share(unknown, n).alias("unknown_pct"), share(genai, n).alias("genai_pct"), share(high, n).alias("high_risk_pct"))
+
+
+def dashboard_output(series: DataFrame, periods: DataFrame, run_id: str) -> DataFrame:
+    """One nested row from dashboard_series and dashboard_periods: a list for each dimension, daily and weekly series. It has a line a day and a value, so it stays small."""
+
+    def sorted_list(*columns: str, when: Column) -> Column:
+        return F.array_sort(F.collect_list(F.when(when, F.struct(*columns))))
+
+    parts = {f"by_{d}": sorted_list("value", "events", when=F.col("dimension") == d) for d in ("risk", "usage", "category", "action")}
+    summary = series.agg(*[c.alias(n) for n, c in parts.items()])
+    daily = sorted_list("start", "total_events", "unique_users", "genai_events", "high_risk_events", "bytes_sent_total", when=F.col("kind") == "daily")
+    weekly = sorted_list("start", "total_events", "unique_users", "unknown_pct", "genai_pct", "high_risk_pct", when=F.col("kind") == "weekly")
+    both = summary.crossJoin(periods.agg(daily.alias("daily"), weekly.alias("weekly")))
+    return both.select(F.lit(run_id).alias("run_id"), F.struct(*parts).alias("summary"), F.struct("daily", "weekly").alias("series"))
+
+
 def drilldown(events: DataFrame, cache: DataFrame, key: str, k: int = 20) -> DataFrame:
     per = with_class(events, cache).groupBy(key).agg(F.count("*").alias("events"), F.sum("bytes_sent").alias("bytes_sent"), F.count_if(F.col("risk_level") == "high").alias("high_risk"))
     return per.orderBy(F.desc("events"), key).limit(k)

@@ -419,6 +419,25 @@ def dashboard_series(spark, sf_dir):
     return reports.dashboard_series(*_events_cache(spark, sf_dir))
 
 
+_PERIODS = " UNION ALL ".join(f"SELECT '{k}' AS kind, strftime(date_trunc('{u}', event_time), '%Y-%m-%d') AS start, count(*) AS total_events, count(DISTINCT user_id) AS unique_users, count_if(usage_type = 'genai')::BIGINT AS genai_events, count_if(risk_level = 'high')::BIGINT AS high_risk_events, sum(bytes_sent)::BIGINT AS bytes_sent_total, round(count_if(coalesce(usage_type, 'unknown') = 'unknown') / count(*) * 100, 4) AS unknown_pct, round(count_if(usage_type = 'genai') / count(*) * 100, 4) AS genai_pct, round(count_if(risk_level = 'high') / count(*) * 100, 4) AS high_risk_pct FROM ev GROUP BY 1, 2" for k, u in (("daily", "day"), ("weekly", "week")))
+
+
+@query(_PERIODS)
+def dashboard_periods(spark, sf_dir):
+    return reports.dashboard_periods(*_events_cache(spark, sf_dir))
+
+
+_LISTED = ", ".join(f"(SELECT to_json(list({{'value': value, 'events': n}} ORDER BY value))::VARCHAR FROM (SELECT {e} AS value, count(*) AS n FROM ev GROUP BY 1)) AS by_{d}" for d, e in (("risk", "coalesce(risk_level, 'unknown')"), ("usage", "coalesce(usage_type, 'unknown')"), ("category", "coalesce(category, 'Unknown')"), ("action", "action")))
+
+
+@query(f"WITH per AS ({_PERIODS}) SELECT 'run1' AS run_id, {_LISTED}, (SELECT to_json(list({{'start': start, 'total_events': total_events, 'unique_users': unique_users, 'genai_events': genai_events, 'high_risk_events': high_risk_events, 'bytes_sent_total': bytes_sent_total}} ORDER BY start))::VARCHAR FROM per WHERE kind = 'daily') AS daily, (SELECT to_json(list({{'start': start, 'total_events': total_events, 'unique_users': unique_users, 'unknown_pct': unknown_pct, 'genai_pct': genai_pct, 'high_risk_pct': high_risk_pct}} ORDER BY start))::VARCHAR FROM per WHERE kind = 'weekly') AS weekly")
+def dashboard_output(spark, sf_dir):
+    """The nested row with its parts as JSON."""
+    events, known = _events_cache(spark, sf_dir)
+    out = reports.dashboard_output(reports.dashboard_series(events, known), reports.dashboard_periods(events, known), p.RUN)
+    return out.select("run_id", *[F.to_json(f"summary.{d}").alias(d) for d in ("by_risk", "by_usage", "by_category", "by_action")], *[F.to_json(f"series.{k}").alias(k) for k in ("daily", "weekly")])
+
+
 @query("SELECT user_id, count(*) AS events, sum(bytes_sent)::BIGINT AS bytes_sent, count_if(risk_level = 'high')::BIGINT AS high_risk FROM ev GROUP BY 1 ORDER BY events DESC, user_id LIMIT 20")
 def drilldown_users(spark, sf_dir):
     return reports.drilldown(*_events_cache(spark, sf_dir), "user_id")

@@ -93,6 +93,20 @@ def test_vendor_rows(spark, tmp_path, vendor):
     assert logs.read_events(spark, str(tmp_path / "out"), vendor, "2024-01-15", "2024-01-15").count() == 2
 
 
+def test_lineage_numbers_equal_rows_by_blocks(spark, monkeypatch):
+    """Rows that repeat more often than a block is long, rows that differ in a column outside the hash, nulls and single rows."""
+    monkeypatch.setattr(events, "BLOCK", 7)
+    df = spark.createDataFrame([("f", "x", "1")] * 50 + [("f", "x", "2")] * 9 + [("f", None, None)] * 8 + [("f", "y", "1")], "_file string, a string, `odd.name` string")
+    got = events.lineage_hash(df, ["a"], "_file")
+    assert got.columns == [*df.columns, "ingest_lineage_hash"]
+    rows = got.collect()
+    assert len(rows) == len({r.ingest_lineage_hash for r in rows}) == 68
+    assert {(r.a, r["odd.name"]): sum(x[:3] == r[:3] for x in rows) for r in rows} == {("x", "1"): 50, ("x", "2"): 9, (None, None): 8, ("y", "1"): 1}
+    again = events.lineage_hash(df.repartition(5), ["a"], "_file").collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+    assert events.lineage_hash(df.limit(0), ["a"], "_file").count() == 0
+
+
 def test_json_readers(spark, tmp_path):
     """An array of objects, one object, and lines of objects, all under one set of columns."""
     (tmp_path / "a.json").write_text('[{"timestamp": "2024-01-15T10:00:00Z", "user": "ann", "url": "https://a.com/x", "action": "allowed", "cs-bytes": 5}, {"timestamp": "2024-01-15T10:00:01Z", "user": "bob", "url": "b.com", "n": null}]')
