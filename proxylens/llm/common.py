@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Most bytes of a table that is broadcast.
 MOST_BYTES = 48 << 20
+#: Rows of a key that is met on the map side.
+HOT = 10_000
 #: Repeated rows are numbered in runs of 2**RUN neighbours.
 RUN = 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,10 +40,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, most_rows: int, most_bytes: int = MOST_BYTES) -> bool:
+    """Whether df, a table, has at most so many rows and bytes (written as JSON)."""
+    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")).first()
+    return size.rows <= most_rows and size.bytes <= most_bytes
+
+
 def broadcast_if_small(df: DataFrame, most_rows: int, most_bytes: int = MOST_BYTES) -> DataFrame:
     """Mark df, a table, for broadcast if it has at most so many rows and bytes (written as JSON); else it joins through a shuffle."""
-    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")).first()
-    return F.broadcast(df) if size.rows <= most_rows and size.bytes <= most_bytes else df
+    return F.broadcast(df) if is_small(df, most_rows, most_bytes) else df
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str, most_rows: int) -> DataFrame:
+    """rows with their match in table, which has a row for each key and how many rows have it (n). Where the table is too large for a broadcast, its hot keys, of which there are few, are met on the map side and only the others shuffled."""
+    if is_small(table, most_rows):
+        return rows.join(F.broadcast(table), key)
+    hot, others = table.where(F.col(n) > HOT), table.where(F.col(n) <= HOT)
+    return rows.join(broadcast_if_small(hot, most_rows), key).unionByName(rows.join(others, key))
 
 
 def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:

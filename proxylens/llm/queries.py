@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from proxylens.llm import decontam, flac, hmm, mixing, ngram_join, pii, quality, sharding, token_counts, url_filter
+from proxylens.llm import alignment, decontam, flac, hmm, mixing, ngram_join, periodic, pii, quality, sharding, simhash, token_counts, url_filter
 from proxylens.llm.common import table
 
 
@@ -48,7 +48,19 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hmm_scores, op2_pii_spans, op3_shards, op4_url_verdicts, op5_flac_media, op6_quality, op7_mix, op8_token_counts, op9_ngram_classes, op10_contamination)}
+def op11_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hmm_scores, op2_pii_spans, op3_shards, op4_url_verdicts, op5_flac_media, op6_quality, op7_mix, op8_token_counts, op9_ngram_classes, op10_contamination, op11_simhash_components, op12_periodic_runs, op13_token_alignment)}
 
 #: The mix: words, targets by water-filling over sources, expected copies by water-filling over weights, and walks down the ranking of the Pareto quotients.
 _MIX_WALK = """

@@ -5,10 +5,10 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from proxylens.llm import decontam, flac, hmm, mixing, ngram_join, pii, quality, sharding, token_counts, url_filter
+from proxylens.llm import alignment, decontam, flac, hmm, mixing, ngram_join, periodic, pii, quality, sharding, simhash, token_counts, url_filter
 
 #: Names that operators use inside, or once did.
-CLASHING = ["_tie", "_bucket", "_keep", "_digest", "_row", "row", "size", "target", "copies", "taken", "source_size", "_copy", "tie", "bucket", "first", "digest", "keep", "score", "rank", "node", "words", "h", "block", "_n", "_u", "_hit", "base", "spans", "letters", "signal", "media"]
+CLASHING = ["_tie", "_bucket", "_keep", "_digest", "_row", "row", "size", "target", "copies", "taken", "source_size", "_copy", "tie", "bucket", "first", "digest", "keep", "score", "rank", "words", "h", "_n", "_u", "_hit", "base", "spans", "letters", "signal", "media", "print", "near", "key", "block", "other", "node", "root", "id", "runs", "collapsed", "pairs", "n_docs"]
 KEPT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -57,6 +57,9 @@ REPORTS = {
     "op8": lambda d, i: token_counts.count_tokens(d),
     "op9": lambda d, i: ngram_join.similarity_classes(d),
     "op10": lambda d, i: decontam.contamination_report(d, i.select(F.col("doc_id").alias("item_id"), F.lit("hello world").alias("text"))),
+    "op11": lambda d, i: simhash.simhash_components(d),
+    "op12": lambda d, i: periodic.run_report(d),
+    "op13": lambda d, i: alignment.alignment_report(d),
 }
 
 
