@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from proxylens.sources.scratch import saved
+
+#: Rows of a shard that are packed together.
+BLOCK = 1024
+
 
 def estimate_cost(n_in: Column, n_out: Column, price_in: float, price_out: float, buffer: float = 1.2) -> Column:
     """USD for tokens at prices per thousand."""
@@ -42,25 +44,55 @@ def budget_gate(df: DataFrame, remaining: float, mode: str = "static") -> DataFr
 
 
 def make_batches(df: DataFrame, n: int = 20, chars: int | None = None) -> DataFrame:
-    """df (url_signature, payload) with shard and batch: at most n rows and, with chars, so many characters of payload.
+    """df (url_signature, payload) with shard and batch: at most n rows and, with chars, so many characters of payload; a longer payload is a batch of its own.
 
-    Shards are the signatures' first two characters, so that no task holds the whole queue.
+    Shards are the signatures' first two characters. With chars, rows are packed in order: a batch ends before the row that
+    does not fit. Where a batch ends depends on where it began, and it begins within n rows of any place; so each
+    block of BLOCK rows is folded once for each of its n possible beginnings, the blocks of a shard are
+    chained by these, and each block is then dealt out on its own. No task folds a shard row by row.
     """
     sharded = df.withColumn("shard", F.substring("url_signature", 1, 2))
+    order = Window.partitionBy("shard").orderBy("url_signature")
     if chars is None:
-        place = F.row_number().over(Window.partitionBy("shard").orderBy("url_signature"))
-        return sharded.withColumn("batch", F.floor((place - 1) / n).cast("int"))
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, batches, batch, rows, used = pdf.sort_values("url_signature"), [], 0, 0, 0
-        for size in pdf["payload"].str.len():
-            if rows and (rows >= n or used + size > chars):
-                batch, rows, used = batch + 1, 0, 0
-            batches.append(batch)
-            rows, used = rows + 1, used + size
-        return pdf.assign(batch=batches)
-
-    return sharded.groupBy("shard").applyInPandas(greedy, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in sharded.schema)}, batch int")
+        return sharded.withColumn("batch", F.floor((F.row_number().over(order) - 1) / n).cast("int"))
+    size = F.coalesce(F.length("payload"), F.lit(0))
+    ahead = F.collect_list(size).over(order.rowsBetween(0, n - 1))
+    zero = F.struct(F.lit(0).alias("rows"), F.lit(0).alias("used"), F.lit(True).alias("open"))
+
+    def pack(a: Column, x: Column) -> Column:
+        fits = a["open"] & ((a["rows"] == 0) | (a["used"] + x <= chars))
+        return F.struct((a["rows"] + fits.cast("int")).alias("rows"), (a["used"] + F.when(fits, x).otherwise(0)).alias("used"), fits.alias("open"))
+
+    at = F.row_number().over(order) - 1
+    placed = sharded.select(F.struct(*sharded.columns).alias("row"), "shard", at.alias("at"), F.aggregate(ahead, zero, pack)["rows"].alias("span"))
+    steps = F.array_sort(F.collect_list(F.struct((F.col("at") % BLOCK).alias("at"), "span", "row")))
+    blocks = saved(placed.groupBy("shard", F.floor(F.col("at") / BLOCK).cast("int").alias("block")).agg(steps.alias("steps")), "batch-blocks")
+
+    def walk(begin: Column) -> Column:
+        """Where the first batch of the next block begins, and how many begin here."""
+        start = F.struct(begin.alias("next"), F.lit(0).alias("made"))
+        hit = lambda a, s: F.when(s["at"] == a["next"], F.struct((a["next"] + s["span"]).alias("next"), (a["made"] + 1).alias("made"))).otherwise(a)
+        return F.aggregate("steps", start, hit, lambda a: F.struct((a["next"] - F.size("steps")).alias("next"), a["made"].alias("made")))
+
+    ways = blocks.select("shard", "block", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), walk).alias("ways"))
+    chain = ways.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("block", "ways"))).alias("chain"))
+    empty = F.struct(F.lit(0).alias("next"), F.lit(0).alias("made"), F.expr("cast(array() as array<struct<block:int,next:int,made:int>>)").alias("out"))
+
+    def link(a: Column, b: Column) -> Column:
+        way = F.get(b["ways"], a["next"])
+        own = F.array(F.struct(b["block"].alias("block"), a["next"].alias("next"), a["made"].alias("made")))
+        return F.struct(way["next"].alias("next"), (a["made"] + way["made"]).alias("made"), F.concat(a["out"], own).alias("out"))
+
+    begins = chain.select("shard", F.explode(F.aggregate("chain", empty, link)["out"]).alias("b")).select("shard", "b.*")
+    first = F.struct(F.col("next"), F.col("made"), F.expr("cast(array() as array<int>)").alias("out"))
+
+    def deal(a: Column, s: Column) -> Column:
+        begin = s["at"] == a["next"]
+        made = a["made"] + begin.cast("int")
+        return F.struct(F.when(begin, a["next"] + s["span"]).otherwise(a["next"]).alias("next"), made.alias("made"), F.concat(a["out"], F.array(made - 1)).alias("out"))
+
+    dealt = blocks.join(begins, ["shard", "block"]).select(F.explode(F.arrays_zip("steps", F.aggregate("steps", first, deal)["out"].alias("batch"))).alias("z"))
+    return dealt.select("z.steps.row.*", F.col("z.batch").alias("batch"))
 
 
 def request_payload(df: DataFrame) -> DataFrame:

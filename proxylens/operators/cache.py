@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxylens import config
+from proxylens.sources.scratch import saved
 
 ALLOWED = ["service_name", "usage_type", "risk_level", "category", "confidence", "rationale", "classification_source", "status", "error_type", "failure_count", "fs_code"]
 
@@ -38,9 +39,34 @@ def merge_cache(base: DataFrame, updates: DataFrame, key: str = "url_signature",
     return both.select(*columns), refused
 
 
+def part_of(key: str) -> Column:
+    """The part of a snapshot that a key is kept in: 256 parts, named so that no part looks like a number."""
+    return F.concat(F.lit("p"), F.substring(key, 1, 2))
+
+
 def write_cache(df: DataFrame, path: str, key: str = "url_signature") -> None:
-    """Write a snapshot's touched parts, by the key's first two characters, to a folder that df was not read from."""
-    df.withColumn("prefix", F.substring(key, 1, 2)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("prefix").parquet(path)
+    """Write the parts of a snapshot that df has rows of, each whole; other parts stay as they are."""
+    parted = df.withColumn("part", part_of(key)).repartition("part")
+    parted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("part")
+
+
+def touched_parts(spark: SparkSession, path: str, updates: DataFrame, key: str = "url_signature") -> DataFrame:
+    """The rows of the snapshot's parts that updates have keys in. The parts' names, 256 at most, prune the scan."""
+    names = [r.part for r in updates.select(part_of(key).alias("part")).distinct().collect()]
+    return spark.read.parquet(path).where(F.col("part").isin(names)).drop("part")
+
+
+def merge_into(path: str, updates: DataFrame, key: str = "url_signature", allowed: Sequence[str] = ALLOWED) -> DataFrame:
+    """Merge updates, a table, into the snapshot at path and return the refused ones. Only parts with updates are read and written, each replaced whole."""
+    base = touched_parts(updates.sparkSession, path, updates, key)
+    merged, refused = merge_cache(base, updates, key, allowed)
+    refused = saved(refused, "refused")
+    write_cache(saved(merged, "merged"), path, key)
+    return refused
 
 
 def cache_hits(sigs: DataFrame, cache: DataFrame) -> DataFrame:

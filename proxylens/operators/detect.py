@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proxylens import config
+from proxylens.operators.skew import join_spread
 
 
 def prepare_events(df: DataFrame) -> DataFrame:
@@ -48,14 +49,14 @@ def detect(df: DataFrame, run_id: str, a_bytes: int = config.DETECT["a_bytes"],
     """df with burst_count, cumulative_bytes, is_a, is_b, is_c and candidate_flags (array).
 
     Events are counted by user, domain, window and day; the two totals come from these counts and are joined
-    back, so that no user's events have to meet in one task.
+    back, cells of many events spread over several tasks by lineage, so that no user's events have to meet in one.
     """
     keys = ["user_id", "dest_domain", "_w", "_day"]
     events = prepare_events(df).withColumn("_w", window_start(window_s)).withColumn("_day", F.to_date("event_time"))
     allowed = F.col("action") == "allow"
-    cells = events.groupBy(*keys).agg(F.count(F.when(allowed & is_write(methods), 1)).alias("writes"), F.sum(F.when(allowed, F.col("bytes_sent"))).alias("sent"))
-    totals = cells.select(*keys, F.sum("writes").over(Window.partitionBy("user_id", "dest_domain", "_w")).alias("burst_count"), F.coalesce(F.sum("sent").over(Window.partitionBy("user_id", "dest_domain", "_day")), F.lit(0)).alias("cumulative_bytes"))
-    seen = events.join(totals, keys)
+    cells = events.groupBy(*keys).agg(F.count(F.when(allowed & is_write(methods), 1)).alias("writes"), F.sum(F.when(allowed, F.col("bytes_sent"))).alias("sent"), F.count("*").alias("_n"))
+    totals = cells.select(*keys, "_n", F.sum("writes").over(Window.partitionBy("user_id", "dest_domain", "_w")).alias("burst_count"), F.coalesce(F.sum("sent").over(Window.partitionBy("user_id", "dest_domain", "_day")), F.lit(0)).alias("cumulative_bytes"))
+    seen = join_spread(events, totals, keys, "_n", ["ingest_lineage_hash"])
     traced = F.col("ingest_lineage_hash") != ""
     is_burst, is_cumulative = F.col("burst_count") >= burst_n, F.col("cumulative_bytes") >= cum_bytes
     marked = seen.withColumn("is_a", traced & F.coalesce(allowed, F.lit(False)) & (F.col("bytes_sent") >= a_bytes))

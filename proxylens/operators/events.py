@@ -10,6 +10,8 @@ from proxylens.functions import fields as f
 from proxylens.operators.domains import registrable_domain, suffix_table
 
 REQUIRED = ("event_time", "user_id", "dest_host")
+#: Why a row is rejected that its reader could not parse (a row with `_error`).
+BROKEN = "parse error"
 #: Rows that repeat are dealt out again in blocks of this many.
 BLOCK = 4096
 
@@ -30,9 +32,9 @@ def lineage_hash(df: DataFrame, columns: list[str], file_col: str) -> DataFrame:
 
 
 def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffixes: DataFrame | None = None, compat: bool = False) -> DataFrame:
-    """The 24 canonical columns and reject_reason, from string columns as read and an `_file` column."""
+    """The 24 canonical columns and reject_reason, from string columns as read, an `_file` column, and `_error` of rows that could not be parsed."""
     m = mapping or config.VENDORS[vendor]
-    present = [c for c in raw.columns if c != "_file"]
+    present = [c for c in raw.columns if c not in ("_file", "_error")]
     source = lineage_hash(raw if "_file" in raw.columns else raw.withColumn("_file", F.lit("")), present, "_file")
     pick = lambda field: f.named(m.get(field, []), present)
     url = f.first_nonblank(pick("url"))
@@ -60,9 +62,10 @@ def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffi
         f.first_nonblank(f.named(["event_id", "raw_event_id", "id"], present)).alias("raw_event_id"),
         F.col("_file").alias("ingest_file"),
         "ingest_lineage_hash",
+        (F.col("_error").isNotNull() if "_error" in raw.columns else F.lit(False)).alias("_broken"),
     )
     out = registrable_domain(out, "dest_host", suffixes if suffixes is not None else suffix_table(raw.sparkSession))
-    reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in REQUIRED])
+    reason = F.coalesce(F.when(F.col("_broken"), F.lit(BROKEN)), *[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in REQUIRED])
     return out.select(*schemas.COLUMNS, reason.alias("reject_reason"))
 
 

@@ -96,6 +96,12 @@ def risk_map(events: DataFrame, cache: DataFrame, keys: Sequence[str]) -> DataFr
     return with_class(events, cache).groupBy(*keys).agg(*[F.count_if(F.coalesce("risk_level", F.lit("unknown")) == r).alias(r) for r in ("low", "medium", "high", "unknown")])
 
 
+def risk_map_periods(events: DataFrame, cache: DataFrame, units: Sequence[str] = ("week", "month")) -> DataFrame:
+    """kind, start and the events by risk level, for each week and month (each event counts in both)."""
+    starts = F.array(*[F.struct(F.lit(u).alias("kind"), F.date_format(F.date_trunc(u, "event_time"), "yyyy-MM-dd").alias("start")) for u in units])
+    return risk_map(events.withColumn("_at", F.explode(starts)).select("*", "_at.*"), cache, ["kind", "start"])
+
+
 # -- audit ------------------------------------------------------------------------------------------
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from proxylens import config
 from proxylens.functions.fields import bytes_bucket, method_group
+from proxylens.operators.domains import registrable_domain
+from proxylens.operators.skew import join_spread
 
 
 def decoded(part: Column) -> Column:
@@ -107,17 +109,39 @@ def pii_audit(df: DataFrame, run_id: str) -> DataFrame:
     return keyed.groupBy("url_signature", "field_source", "pii_type", "redacted_token", "original_hash").agg(F.count("*").alias("occurrence_count")).withColumn("run_id", F.lit(run_id))
 
 
-def add_signature(df: DataFrame, version: str = config.SIGNATURE_VERSION, key_params: Sequence[str] = ()) -> DataFrame:
-    """df (with norm_* columns, http_method, bytes_sent) with the parts of the signature and url_signature."""
+def url_parts(df: DataFrame, key_params: Sequence[str] = ()) -> DataFrame:
+    """df (with norm_path, norm_query) with what a signature takes from the url alone."""
     count = F.when(F.col("norm_query") == "", 0).otherwise(F.size(F.split("norm_query", "&")))
     subset = F.array_join(F.array_sort(F.filter(F.split("norm_query", "&"), lambda p: F.substring_index(p, "=", 1).isin(list(key_params)))), "&") if key_params else F.lit("")
     out = df.withColumn("param_count", count).withColumn("norm_path_template", F.when(count > 0, F.concat("norm_path", F.lit("?p="), count)).otherwise(F.col("norm_path")))
-    out = out.withColumn("path_depth", F.size(F.array_remove(F.split("norm_path", "/"), ""))).withColumn("method_group", method_group(F.col("http_method"))).withColumn("bytes_bucket", bytes_bucket(F.col("bytes_sent")))
-    out = out.withColumn("key_param_subset", subset).withColumn("has_auth_token_like", F.col("norm_query").rlike(config.AUTH_WORDS))
+    out = out.withColumn("path_depth", F.size(F.array_remove(F.split("norm_path", "/"), "")))
+    return out.withColumn("key_param_subset", subset).withColumn("has_auth_token_like", F.col("norm_query").rlike(config.AUTH_WORDS))
+
+
+def event_parts(df: DataFrame, version: str = config.SIGNATURE_VERSION) -> DataFrame:
+    """df (with url_parts, http_method, bytes_sent) with method group, bytes bucket and url_signature."""
+    out = df.withColumn("method_group", method_group(F.col("http_method"))).withColumn("bytes_bucket", bytes_bucket(F.col("bytes_sent")))
     parts = [F.coalesce(F.col(c), F.lit("")) for c in ("norm_host", "norm_path_template", "key_param_subset", "method_group", "bytes_bucket")]
     return out.withColumn("url_signature", F.sha2(F.concat_ws("|", *parts, F.lit(version)), 256))
 
 
+def add_signature(df: DataFrame, version: str = config.SIGNATURE_VERSION, key_params: Sequence[str] = ()) -> DataFrame:
+    """df (with norm_* columns, http_method, bytes_sent) with the parts of the signature and url_signature."""
+    return event_parts(url_parts(df, key_params), version)
+
+
+def url_dictionary(df: DataFrame, suffixes: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), key_params: Sequence[str] = ()) -> DataFrame:
+    """A row for each distinct url of df: its normal form, domain and part of the signature, and how many rows have it (url_rows)."""
+    urls = df.groupBy(url_col).agg(F.count("*").alias("url_rows"))
+    return registrable_domain(url_parts(normalized_urls(urls, url_col, keep_keys), key_params), "norm_host", suffixes)
+
+
+def sign_events(df: DataFrame, suffixes: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), key_params: Sequence[str] = (), version: str = config.SIGNATURE_VERSION) -> DataFrame:
+    """df with normal urls, dest_domain and url_signature: one dictionary of the distinct urls, joined back once; rows of a hot url are spread by lineage."""
+    known = url_dictionary(df, suffixes, url_col, keep_keys, key_params)
+    return event_parts(join_spread(df, known, [url_col], "url_rows", ["ingest_lineage_hash"]), version)
+
+
 def signature_groups(df: DataFrame) -> DataFrame:
     """Events of each signature."""
     return df.groupBy("url_signature").agg(F.count("*").alias("events"))

@@ -69,6 +69,8 @@ def redacted(column: str) -> str:
 
 
 def sql(body: str) -> str:
-    """body over the shared frames; a body with frames of its own adds them."""
+    """body over the shared frames; a body with frames of its own adds them, recursive ones too."""
     shared = CTES.replace("{path}", redacted("norm_path_0")).replace("{query}", redacted("norm_query_0"))
+    if body.startswith("WITH RECURSIVE "):
+        return f"{shared.replace('WITH ', 'WITH RECURSIVE ', 1)}, {body[15:]}"
     return f"{shared}, {body[5:]}" if body.startswith("WITH ") else f"{shared}\n{body}"

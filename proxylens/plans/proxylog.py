@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxylens.operators import budget, detect, domains, rules, signatures, stats
-from proxylens.sources.scratch import saved
+from proxylens.sources.scratch import bucketed, saved
 
 #: Thresholds for these tables; the package's defaults never fire on them.
 RUN = "run1"
@@ -39,17 +39,26 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sign(events: DataFrame) -> DataFrame:
+    return signatures.sign_events(events, domains.suffix_table(events.sparkSession))
+
+
 def signed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    normal = signatures.normalize_urls(log(spark, sf_dir))
-    return domains.registrable_domain(signatures.add_signature(normal), "norm_host", domains.suffix_table(spark))
+    return sign(log(spark, sf_dir))
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.detect(signed(spark, sf_dir), RUN, **PARAMS)
 
 
+def found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over signed events that are written once, as their totals and the events themselves both come from them."""
+    kept = signed(spark, sf_dir).drop("pii_hits", "original_path", "original_query", "norm_url", "page_id", "url_full")
+    return detect.detect(saved(kept, "signed"), RUN, **PARAMS)
+
+
 def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.signature_stats(flagged(spark, sf_dir), RUN)
+    return stats.signature_stats(found(spark, sf_dir), RUN)
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +82,9 @@ def cache_of(found: DataFrame) -> DataFrame:
 
 
 def statistics_and_cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The statistics, written once, and the cache of their signatures."""
-    stats_ = saved(statistics(spark, sf_dir), "statistics")
-    return stats_, cache_of(stats_.select("url_signature", "norm_host", "norm_path_template"))
+    """The statistics and the cache of their signatures, both written once in buckets of the signature."""
+    stats_ = bucketed(statistics(spark, sf_dir), "statistics", "url_signature")
+    return stats_, bucketed(cache_of(stats_.select("url_signature", "norm_host", "norm_path_template")), "cache", "url_signature")
 
 
 def digit(place: int):

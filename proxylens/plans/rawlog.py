@@ -50,17 +50,20 @@ def reject_reasons(spark, sf_dir):
     return good.select(F.lit("accepted").alias("reason")).union(bad.select("reject_reason")).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
-@query("SELECT count(*) FILTER (WHERE event_time IS NULL) AS event_time, count(*) FILTER (WHERE user_id IS NULL) AS user_id, count(*) FILTER (WHERE dest_host IS NULL) AS dest_domain, 0 * count(*) AS bytes_sent, count(*) FILTER (WHERE http_method IS NULL) AS http_method, 0 * count(*) AS action FROM judged")
+@query("SELECT count(*) FILTER (WHERE event_time IS NULL) AS event_time, count(*) FILTER (WHERE user_id IS NULL) AS user_id, count(*) FILTER (WHERE dest_host IS NULL) AS dest_domain, count(*) FILTER (WHERE bytes_sent IS NULL) AS bytes_sent, count(*) FILTER (WHERE http_method IS NULL) AS http_method, count(*) FILTER (WHERE coalesce(action, '') = '') AS action FROM judged")
 def field_gaps(spark, sf_dir):
     return events.required_field_gaps(canonical(spark, sf_dir))
 
 
-_BAD = {"action": "action NOT IN ('allow', 'block', 'unknown')", "bytes_sent": "bytes_sent < 0", "bytes_received": "bytes_received < 0", "lineage": "false", "event_time": "event_time IS NULL", "user_id": "user_id IS NULL", "dest_host": "dest_host IS NULL", "dest_domain": "dest_host IS NULL", "vendor": "false", "log_type": "false", "status_code": "false", "http_method": "NOT regexp_matches(http_method, '^[A-Z]+$')"}
+_BAD = {"action": "action NOT IN ('allow', 'block', 'unknown')", "bytes_sent": "bytes_sent < 0", "bytes_received": "bytes_received < 0", "lineage": "k % 37 = 1", "event_time": "event_time IS NULL", "user_id": "user_id IS NULL", "dest_host": "dest_host IS NULL", "dest_domain": "dest_host IS NULL", "vendor": "k % 31 = 2", "log_type": "k % 41 = 2", "status_code": "k % 43 = 3", "http_method": "NOT regexp_matches(http_method, '^[A-Z]+$')"}
 
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS name, count(*) FILTER (WHERE {bad}) AS violations, count(*) FILTER (WHERE {bad}) = 0 AS ok FROM judged" for n, bad in _BAD.items()))
 def canonical_conformance(spark, sf_dir):
-    return quality.check_canonical(canonical(spark, sf_dir))
+    """Canonical events of which some were spoilt afterwards, so that most rules find something."""
+    k = F.col("raw_event_id").cast("long")
+    spoilt = {"ingest_lineage_hash": F.when(k % 37 == 1, "short"), "vendor": F.when(k % 31 == 2, "nobody"), "log_type": F.when(k % 41 == 2, ""), "status_code": F.when(k % 43 == 3, 700)}
+    return quality.check_canonical(canonical(spark, sf_dir).withColumns({c: F.coalesce(v, c) for c, v in spoilt.items()}))
 
 
 @query("SELECT 'paloalto' AS vendor, substr(event_time, 1, 10) AS date, count(*) AS events, sum(bytes_sent)::BIGINT AS bytes_sent FROM judged WHERE reject_reason IS NULL AND substr(event_time, 9, 2) BETWEEN '05' AND '20' AND substr(event_time, 1, 7) = (SELECT min(substr(event_time, 1, 7)) FROM judged) GROUP BY 2")
@@ -73,21 +76,19 @@ def event_partitions(spark, sf_dir):
     return logs.coerce_event_types(read).groupBy("vendor", F.date_format("date", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("events"), F.sum("bytes_sent").alias("bytes_sent"))
 
 
-@query("SELECT count(*) AS files_rows, sum(row_count)::BIGINT AS rows, true AS hashed FROM (SELECT count(*) AS row_count FROM judged)")
-def file_inventory(spark, sf_dir):
-    """Inventory of the log as one CSV file, with what was read from it."""
-    path = scratch_path(spark, "raw-file")
-    p.raw_log(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
-    read = events.to_canonical(logs.read_vendor(spark, path), VENDOR)
-    return logs.file_inventory(spark, f"{path}/*.csv", read, VENDOR).agg(F.count("*").alias("files_rows"), F.sum("row_count").alias("rows"), F.bool_and(F.col("file_hash").rlike("^[0-9a-f]{64}$") & (F.col("size") > 0)).alias("hashed"))
+# Labels and their ASCII forms.
+INTERNATIONAL = [("Bücher", "xn--bcher-kva"), ("MÜNCHEN", "xn--mnchen-3ya"), ("日本", "xn--wgv71a"), ("plain", "plain"), ("école", "xn--cole-9oa")]
+_ASCII = "[" + ", ".join(f"'{a}'" for _, a in INTERNATIONAL) + "]"
 
 
-@query("SELECT 'xn--bcher-kva.example' AS norm_host, count(*) AS events FROM log HAVING count(*) > 0")
+@query(f"SELECT {_ASCII}[(event_id % 5 + 1)::INT] || '.' || norm_host AS norm_host, count(*) AS events FROM sig GROUP BY 1")
 def international_hosts(spark, sf_dir):
-    """The log as if every page were on one host with an umlaut: signatures see its ASCII form."""
+    """The log's hosts below labels in other scripts: signatures see their ASCII forms."""
     from proxylens.operators import signatures
 
-    moved = p.log(spark, sf_dir).withColumn("url_full", F.regexp_replace("url_full", "^[a-z]+://[^/?#]*", "http://Bücher.example"))
+    label = F.element_at(F.array(*[F.lit(a) for a, _ in INTERNATIONAL]), (F.col("event_id") % 5 + 1).cast("int"))
+    host, rest = F.regexp_extract("url_full", "^[a-z]+://([^/?#]*)", 1), F.regexp_extract("url_full", "^[a-z]+://[^/?#]*(.*)$", 1)
+    moved = p.log(spark, sf_dir).withColumn("url_full", F.concat(F.lit("http://"), label, F.lit("."), host, rest))
     return signatures.normalize_urls(moved).groupBy("norm_host").agg(F.count("*").alias("events"))
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-from proxylens.operators import budget, cache, detect, metrics, quality, reports, rules, signatures, stats
+from proxylens.operators import budget, cache, detect, domains, metrics, quality, reports, rules, signatures, stats
 from proxylens.plans import proxylog as p
 from proxylens.plans.oracles import sql
+from proxylens.sources.scratch import saved, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,14 +68,27 @@ def registrable_domains(spark, sf_dir):
     return p.signed(spark, sf_dir).select("event_id", "dest_domain")
 
 
-@query()
+_MAILED = "SELECT sha256(concat_ws('|', 'h.com', '/p?p=2', '', method_group, bytes_bucket, '1.0')) AS url_signature, 'ip=10.0.0.' || (event_id % 3) || '&who=' || user_id || '@example.com' AS q FROM sig"
+
+
+@query(" UNION ALL ".join(f"SELECT 'run1' AS run_id, url_signature, 'query' AS field_source, '{kind}' AS pii_type, ':{kind}' AS redacted_token, sha256(q) AS original_hash, count(*) AS occurrence_count FROM ({_MAILED}) GROUP BY ALL" for kind in ("email", "ip")))
 def pii_audit(spark, sf_dir):
-    return signatures.pii_audit(p.signed(spark, sf_dir), p.RUN)
+    """The audit of a log whose urls carry the user's mail address and an IP address."""
+    mailed = F.concat(F.lit("h.com/p?who="), "user_id", F.lit("@example.com&ip=10.0.0."), F.col("event_id") % 3)
+    events = p.log(spark, sf_dir).withColumn("url_full", mailed)
+    return signatures.pii_audit(p.sign(events), p.RUN)
+
+
+@query("SELECT event_id, subset AS key_param_subset, sha256(concat_ws('|', norm_host, norm_path_template, subset, method_group, bytes_bucket, '1.0')) AS url_signature FROM (SELECT *, coalesce(array_to_string(list_sort(list_filter(string_split(norm_query, '&'), lambda x: split_part(x, '=', 1) IN ('page', 'id'))), '&'), '') AS subset FROM sig)")
+def key_param_signatures(spark, sf_dir):
+    """Signatures that tell pages of a listing apart."""
+    found = signatures.sign_events(p.log(spark, sf_dir), domains.suffix_table(spark), key_params=["page", "id"])
+    return found.select("event_id", "key_param_subset", "url_signature")
 
 
 @query("SELECT event_id, is_a, is_b, is_c, burst_count, cumulative_bytes, array_to_string(candidate_flags, '|') AS candidate_flags FROM det")
 def event_flags(spark, sf_dir):
-    return flags_text(p.flagged(spark, sf_dir)).select("event_id", "is_a", "is_b", "is_c", "burst_count", "cumulative_bytes", "candidate_flags")
+    return flags_text(p.found(spark, sf_dir)).select("event_id", "is_a", "is_b", "is_c", "burst_count", "cumulative_bytes", "candidate_flags")
 
 
 @query("SELECT user_id, dest_domain, strftime(event_time, '%Y-%m-%d') AS day, sum(bytes_sent)::BIGINT AS cumulative_bytes FROM sig WHERE action = 'allow' GROUP BY ALL")
@@ -90,7 +104,7 @@ def burst_counts(spark, sf_dir):
 for kind in "abc":
 
     def _signals(spark, sf_dir, kind=kind):
-        found = detect.signals(p.flagged(spark, sf_dir), kind).withColumn("event_time", clock("event_time"))
+        found = detect.signals(p.found(spark, sf_dir), kind).withColumn("event_time", clock("event_time"))
         return found.select("*", "trigger.*").drop("trigger") if kind == "b" else found
 
     extra = ", app_category IN ('GenAI', 'AI', 'Unknown', 'Uncategorized') AS high_risk_category, burst_count, cumulative_bytes" if kind == "b" else ""
@@ -100,7 +114,7 @@ for kind in "abc":
 
 @query("SELECT count(*) AS total_events, count_if(is_a)::BIGINT AS count_a, count_if(is_b)::BIGINT AS count_b, count_if(is_c)::BIGINT AS count_c, count_if(burst_count >= 2)::BIGINT AS burst_events, count_if(cumulative_bytes >= 2000000)::BIGINT AS cumulative_events FROM det")
 def detection_metadata(spark, sf_dir):
-    return detect.detection_metadata(p.flagged(spark, sf_dir), p.RUN, p.PARAMS).select("total_events", "count_a", "count_b", "count_c", "burst_events", "cumulative_events")
+    return detect.detection_metadata(p.found(spark, sf_dir), p.RUN, p.PARAMS).select("total_events", "count_a", "count_b", "count_c", "burst_events", "cumulative_events")
 
 
 @query("SELECT event_id, bytes_bucket FROM sig WHERE ('0x' || substr(sha256('s1|' || ingest_lineage_hash), 1, 16))::UBIGINT % 10000 < CASE bytes_bucket WHEN 'T' THEN 5000 WHEN 'L' THEN 1000 WHEN 'M' THEN 10000 ELSE 0 END")
@@ -115,12 +129,12 @@ def population_profile(spark, sf_dir):
 
 @query("SELECT url_signature, array_to_string(candidate_flags, '|') AS flags FROM stats")
 def union_flags(spark, sf_dir):
-    return stats.union_flags(p.flagged(spark, sf_dir))
+    return stats.union_flags(p.found(spark, sf_dir))
 
 
 @query("SELECT count(*) AS events, count(DISTINCT url_signature) AS signatures, count(DISTINCT user_id) AS users, count(DISTINCT dest_domain) AS domains, count_if(is_a)::BIGINT AS count_a, count_if(is_b)::BIGINT AS count_b, count_if(is_c)::BIGINT AS count_c FROM det")
 def run_counts(spark, sf_dir):
-    return stats.run_counts(p.flagged(spark, sf_dir))
+    return stats.run_counts(p.found(spark, sf_dir))
 
 
 @query("SELECT count(*) AS events, count_if(action <> 'allow')::BIGINT AS excluded FROM log")
@@ -194,6 +208,29 @@ def merged_cache(spark, sf_dir):
     return merged.select("url_signature", "risk_level", "service_name", "status", "is_human_verified")
 
 
+def _snapshot(spark, sf_dir):
+    """The cache at a path, after updates of two parts of 256, and the updates that were refused."""
+    path = scratch_path(spark, "cache")
+    cache.write_cache(p.cache(spark, sf_dir), path)
+    known = cache.read_cache(spark, path).select("url_signature", "service_name").where(F.substring("url_signature", 1, 2).isin("0a", "7f", "33"))
+    updates = known.where(p.digit(4) < 12).select("url_signature", F.lit("high").alias("risk_level"), F.lit(True).alias("is_human_verified"))
+    fresh = known.where("substr(url_signature, 1, 1) = '3'").select(F.concat("url_signature", F.lit("x")).alias("url_signature"), F.lit("low").alias("risk_level"), F.lit(False).alias("is_human_verified"))
+    return path, cache.merge_into(path, saved(updates.unionByName(fresh), "updates"))
+
+
+@query("SELECT url_signature, CASE WHEN hit AND NOT is_human_verified THEN 'high' ELSE risk_level END AS risk_level, service_name, is_human_verified FROM (SELECT *, substr(url_signature, 1, 2) IN ('0a', '7f', '33') AND strpos('0123456789abcdef', substr(url_signature, 4, 1)) - 1 < 12 AS hit FROM cache) UNION ALL SELECT url_signature || 'x', 'low', NULL, false FROM cache WHERE starts_with(url_signature, '33')")
+def cache_snapshot(spark, sf_dir):
+    """The cache after a merge that rewrote the touched parts only."""
+    path, _ = _snapshot(spark, sf_dir)
+    return cache.read_cache(spark, path).select("url_signature", "risk_level", "service_name", "is_human_verified")
+
+
+@query("SELECT url_signature, 'high' AS risk_level FROM cache WHERE is_human_verified AND substr(url_signature, 1, 2) = '0a' AND strpos('0123456789abcdef', substr(url_signature, 4, 1)) - 1 < 12")
+def refused_updates(spark, sf_dir):
+    """Updates of rows that a person has verified."""
+    return _snapshot(spark, sf_dir)[1].select("url_signature", "risk_level")
+
+
 @query("SELECT url_signature, CASE WHEN action = 1 AND NOT is_human_verified THEN CASE WHEN failure_count + 1 >= 3 THEN 'failed_permanent' ELSE 'needs_review' END ELSE status END AS status, (failure_count + CASE WHEN action = 1 AND NOT is_human_verified THEN 1 ELSE 0 END)::INT AS failure_count FROM (SELECT c.*, coalesce(b.one, 0) AS action FROM cache c LEFT JOIN (SELECT DISTINCT url_signature, 1 AS one FROM sig WHERE action = 'block') b USING (url_signature))")
 def status_transition(spark, sf_dir):
     failures = p.signed(spark, sf_dir).where("action = 'block'").select("url_signature").distinct().withColumn("error_message", F.lit("Timeout while waiting"))
@@ -228,9 +265,13 @@ def batches(spark, sf_dir):
     return budget.make_batches(p.statistics(spark, sf_dir).select("url_signature"), 20)
 
 
-@query()
+@query(
+    "WITH RECURSIVE q AS (SELECT url_signature, substr(url_signature, 1, 2) AS shard, length(to_json({'norm_host': norm_host, 'norm_path_template': norm_path_template, 'access_count': access_count, 'unique_users': unique_users, 'bytes_sent_sum': bytes_sent_sum})::VARCHAR) AS size, row_number() OVER (PARTITION BY substr(url_signature, 1, 2) ORDER BY url_signature) AS i FROM stats),"
+    " walk AS (SELECT url_signature, shard, i, 0 AS batch, 1 AS n, size AS used FROM q WHERE i = 1 UNION ALL SELECT q.url_signature, q.shard, q.i, batch + (w.n = 20 OR used + size > 300)::INT, CASE WHEN w.n = 20 OR used + size > 300 THEN 1 ELSE w.n + 1 END, CASE WHEN w.n = 20 OR used + size > 300 THEN size ELSE used + size END FROM walk w JOIN q ON q.shard = w.shard AND q.i = w.i + 1)"
+    " SELECT url_signature, shard, batch FROM walk"
+)
 def batches_by_chars(spark, sf_dir):
-    return budget.make_batches(budget.request_payload(p.statistics(spark, sf_dir)), 20, 2000).select("url_signature", "shard", "batch")
+    return budget.make_batches(budget.request_payload(p.statistics(spark, sf_dir)), 20, 300).select("url_signature", "shard", "batch")
 
 
 @query("SELECT count(*) AS requests, round(sum(cost_usd), 6) AS cost_usd, round(sum(cost_usd) / 10.0, 6) AS utilisation FROM costs")
@@ -242,7 +283,7 @@ def cost_budget_metrics(spark, sf_dir):
 
 
 def _events_cache(spark, sf_dir):
-    return p.flagged(spark, sf_dir), p.cache(spark, sf_dir)
+    return p.found(spark, sf_dir), p.cache(spark, sf_dir)
 
 
 def _stats_cache(spark, sf_dir):
@@ -254,9 +295,11 @@ def executive_kpi(spark, sf_dir):
     return reports.executive_kpi(*_events_cache(spark, sf_dir))
 
 
-@query("SELECT service_name, sum(access_count)::BIGINT AS access_count, sum(bytes_sent_sum)::BIGINT AS bytes_sent_sum, count(*) AS signatures, 1::INT AS rank FROM stats JOIN act USING (url_signature) WHERE usage_type = 'genai' GROUP BY service_name")
+@query("SELECT service_name, access_count, bytes_sent_sum, signatures, (row_number() OVER (ORDER BY bytes_sent_sum DESC, service_name))::INT AS rank FROM (SELECT service_name || substr(url_signature, 3, 1) AS service_name, sum(access_count)::BIGINT AS access_count, sum(bytes_sent_sum)::BIGINT AS bytes_sent_sum, count(*) AS signatures FROM stats JOIN act USING (url_signature) WHERE usage_type = 'genai' GROUP BY 1) ORDER BY bytes_sent_sum DESC, service_name LIMIT 10")
 def top_services(spark, sf_dir):
-    return reports.top_services(*_stats_cache(spark, sf_dir))
+    """Sixteen services by the signatures' third digit, of which ten are shown."""
+    stats_, known = _stats_cache(spark, sf_dir)
+    return reports.top_services(stats_, known.withColumn("service_name", F.concat("service_name", F.substring("url_signature", 3, 1))))
 
 
 @query("SELECT url_signature, service_name, access_count, bytes_sent_sum, (row_number() OVER (ORDER BY bytes_sent_sum DESC, url_signature))::INT AS rank FROM stats JOIN act USING (url_signature) WHERE usage_type = 'genai' ORDER BY bytes_sent_sum DESC, url_signature LIMIT 10")
@@ -302,14 +345,27 @@ def risk_map(spark, sf_dir):
     return reports.risk_map(*_events_cache(spark, sf_dir), ["user_id", "dest_domain"])
 
 
+_RISKS = "count(*) FILTER (WHERE risk_level = 'low') AS low, count(*) FILTER (WHERE risk_level = 'medium') AS medium, count(*) FILTER (WHERE risk_level = 'high') AS high, count(*) FILTER (WHERE risk_level IS NULL) AS \"unknown\""
+
+
+@query(f"SELECT user_dept, {_RISKS} FROM ev GROUP BY user_dept")
+def risk_map_departments(spark, sf_dir):
+    return reports.risk_map(*_events_cache(spark, sf_dir), ["user_dept"])
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS kind, strftime(date_trunc('{k}', event_time), '%Y-%m-%d') AS start, {_RISKS} FROM ev GROUP BY 2" for k in ("week", "month")))
+def risk_map_periods(spark, sf_dir):
+    return reports.risk_map_periods(*_events_cache(spark, sf_dir))
+
+
 @query("SELECT count(*) AS population, count_if(len(candidate_flags) > 0)::BIGINT AS extracted, count_if(len(candidate_flags) = 0)::BIGINT AS not_extracted, round(count_if(len(candidate_flags) > 0) / count(*) * 100, 4) AS extracted_pct FROM det")
 def audit_population(spark, sf_dir):
-    return reports.audit_population(p.flagged(spark, sf_dir))
+    return reports.audit_population(p.found(spark, sf_dir))
 
 
 @query("SELECT count_if(is_b AND bytes_sent < 1048576)::BIGINT AS pool, count_if(is_c)::BIGINT AS sampled, 0.2 AS rate, round(count_if(is_c) / count_if(is_b AND bytes_sent < 1048576) * 100, 4) AS sampled_pct FROM det")
 def audit_sampling(spark, sf_dir):
-    return reports.audit_sampling(p.flagged(spark, sf_dir), 0.2)
+    return reports.audit_sampling(p.found(spark, sf_dir), 0.2)
 
 
 @query("SELECT count_if(bytes_sent_max < 1048576)::BIGINT AS small, count_if(bytes_sent_max < 1048576 AND len(candidate_flags) = 0)::BIGINT AS small_unflagged, count_if(bytes_sent_max < 1048576 AND list_contains(candidate_flags, 'B'))::BIGINT AS small_b, count_if(bytes_sent_max < 1048576 AND list_contains(candidate_flags, 'C'))::BIGINT AS small_c FROM stats")
@@ -317,9 +373,16 @@ def zero_exclusion(spark, sf_dir):
     return reports.zero_exclusion(p.statistics(spark, sf_dir))
 
 
-@query("SELECT count(*) AS signatures, count_if(classification_source = 'RULE')::BIGINT AS by_rule, 0::BIGINT AS by_llm, 0::BIGINT AS by_human, count_if(status = 'active')::BIGINT AS active, count_if(status = 'needs_review')::BIGINT AS needs_review, 0::BIGINT AS skipped, 0::BIGINT AS failed_permanent FROM cache")
+_DIGIT = "strpos('0123456789abcdef', substr(url_signature, {}, 1)) - 1"
+
+
+@query(f"SELECT count(*) AS signatures, count_if(source = 'RULE')::BIGINT AS by_rule, count_if(source = 'LLM')::BIGINT AS by_llm, count_if(source = 'HUMAN')::BIGINT AS by_human, count_if(state = 'active')::BIGINT AS active, count_if(state = 'needs_review')::BIGINT AS needs_review, count_if(state = 'skipped')::BIGINT AS skipped, count_if(state = 'failed_permanent')::BIGINT AS failed_permanent FROM (SELECT CASE WHEN {_DIGIT.format(5)} < 4 THEN 'LLM' WHEN {_DIGIT.format(5)} = 4 THEN 'HUMAN' ELSE classification_source END AS source, CASE WHEN {_DIGIT.format(6)} = 0 THEN 'skipped' WHEN {_DIGIT.format(6)} = 1 THEN 'failed_permanent' ELSE status END AS state FROM cache)")
 def model_usage(spark, sf_dir):
-    return reports.model_usage(p.cache(spark, sf_dir))
+    """Classes from all sources and in all states, by the signatures' digits."""
+    known = p.cache(spark, sf_dir)
+    sources = F.when(p.digit(5) < 4, "LLM").when(p.digit(5) == 4, "HUMAN").otherwise(F.col("classification_source"))
+    states = F.when(p.digit(6) == 0, "skipped").when(p.digit(6) == 1, "failed_permanent").otherwise(F.col("status"))
+    return reports.model_usage(known.withColumn("classification_source", sources).withColumn("status", states))
 
 
 def _spend(spark, sf_dir):
@@ -462,7 +525,7 @@ def quality_checks(spark, sf_dir):
     coverage = rules.rule_coverage(found, known, rules.match_rules(found, rules.load_rules(spark, p.RULES)))
     out = quality.check_coverage_sum(coverage).union(quality.check_coverage_range(coverage))
     out = out.union(quality.check_orphans(stats_, known.where("status = 'active'"), "url_signature", "stats_without_cache")).union(quality.check_orphans(p.costs(spark, sf_dir), p.files(spark, sf_dir).where("dayofmonth(to_date(day)) > 1"), "run_id", "costs_without_run"))
-    events = p.flagged(spark, sf_dir)
+    events = p.found(spark, sf_dir)
     return out.union(quality.check_sanitized(reports.sanitized_events(events, known, "pepper", None))).union(quality.check_risk_values(reports.with_class(events, known)))
 
 
@@ -486,10 +549,4 @@ def rule_accuracy(spark, sf_dir):
     return quality.rule_accuracy(known, events.groupBy("norm_host").agg(F.when(most, "genai").otherwise("business").alias("usage_type")))
 
 
-@query("SELECT 'proxy' AS run_id, user_dept AS stage, count(*) AS rows, (floor(epoch(max(event_time)))::BIGINT - floor(epoch(min(event_time)))::BIGINT) AS seconds, round(count(*) / (floor(epoch(max(event_time)))::BIGINT - floor(epoch(min(event_time)))::BIGINT), 6) AS rows_per_s FROM log GROUP BY user_dept")
-def stage_metrics(spark, sf_dir):
-    steps = p.log(spark, sf_dir).select(F.lit("proxy").alias("run_id"), F.col("user_dept").alias("stage"), F.date_trunc("second", "event_time").alias("at"), F.lit(1).alias("rows"))
-    return metrics.stage_metrics(steps)
-
-
-from proxylens.plans import rawlog, taxonomylog  # noqa: E402, F401 (they register their queries)
+from proxylens.plans import rawlog, taxonomylog, ingestlog, vendorlog  # noqa: E402, F401 (they register their queries)

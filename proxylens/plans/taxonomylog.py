@@ -190,23 +190,18 @@ def retry_summary(spark, sf_dir):
 def run_report(spark, sf_dir):
     found = p.sites(spark, sf_dir)
     coverage = rules.rule_coverage(found, p.cache_of(found), rules.match_rules(found, rules.load_rules(spark, p.RULES)))
-    row = reports.run_report(stats.run_counts(p.flagged(spark, sf_dir)), coverage, p.RUN, {"taxonomy": "v1"})
+    row = reports.run_report(stats.run_counts(p.found(spark, sf_dir)), coverage, p.RUN, {"taxonomy": "v1"})
     return row.select("run_id", "counts.events", "coverage.signatures", "coverage.rule_hit", F.round("hit_rate", 6).alias("hit_rate"), F.try_element_at("versions", F.lit("taxonomy")).alias("taxonomy"))
 
 
 @query("SELECT 'distribution' AS name, ((count(*) FILTER (WHERE is_a) / count(*) NOT BETWEEN 0.001 AND 0.1)::INT + (count(*) FILTER (WHERE is_b) / count(*) NOT BETWEEN 0.01 AND 0.2)::INT)::BIGINT AS violations, violations = 0 AS ok FROM det")
 def flag_distribution(spark, sf_dir):
-    return quality.check_distribution(p.flagged(spark, sf_dir), {"a": (0.001, 0.1), "b": (0.01, 0.2)})
+    return quality.check_distribution(p.found(spark, sf_dir), {"a": (0.001, 0.1), "b": (0.01, 0.2)})
 
 
 @query("SELECT name, violations, violations = 0 AS ok FROM (SELECT 'idempotent' AS name, (SELECT count(DISTINCT url_signature) FROM det WHERE action = 'block' AND url_signature IS NOT NULL) + (SELECT count(DISTINCT url_signature) FROM det WHERE action = 'block' AND url_signature IN (SELECT url_signature FROM det WHERE action <> 'block')) AS violations)")
 def idempotency(spark, sf_dir):
     """Events of each signature in two runs, of which the second leaves blocked events out: each signature with a blocked event differs, twice where it is in both."""
     counts = lambda df: df.groupBy("url_signature").agg(F.count("*").alias("n"))
-    events = p.flagged(spark, sf_dir)
+    events = p.found(spark, sf_dir)
     return quality.check_idempotent(counts(events), counts(events.where("action != 'block'")))
-
-
-@query("SELECT 'r' || (event_id % 3) AS run_id, action AS event_type, count(*) AS events, max(user_id) AS last_message FROM log GROUP BY 1, 2")
-def run_log(spark, sf_dir):
-    return metrics.run_log_summary(p.log(spark, sf_dir).select(F.concat(F.lit("r"), F.col("event_id") % 3).alias("run_id"), F.col("action").alias("event_type"), F.col("user_id").alias("message")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -9,29 +11,63 @@ from pyspark.sql.streaming import DataStreamWriter
 from proxylens import config
 from proxylens.operators.detect import is_write
 from proxylens.operators.events import split_rejects, to_canonical
+from proxylens.schemas import CANONICAL
 
 
 def stream_ingest(spark: SparkSession, path: str, vendor: str, out: str, checkpoint: str, schema: str, per_trigger: int = 100) -> DataStreamWriter:
-    """New CSV files of a folder to Parquet by vendor and date, each lineage once.
+    """New CSV files of a folder to canonical events in Parquet by vendor and date.
 
-    A batch that is run again replaces its own files: each writes to a folder of its number. Lineages that an
-    earlier batch has written, on the dates that the batch touches, are left out.
+    Lineages hold the file's name without its folder, so that a file that is delivered again has the same ones. A
+    batch that is run again replaces its own files: each writes to a folder of its number. `each_lineage_once`
+    reads what several such streams have written.
     """
-    raw = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", per_trigger).csv(path).withColumn("_file", F.col("_metadata.file_path"))
+    raw = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", per_trigger).csv(path).withColumn("_file", F.col("_metadata.file_name"))
 
     def write(batch: DataFrame, number: int) -> None:
         good, _ = split_rejects(to_canonical(batch, vendor))
-        dated = good.dropDuplicates(["ingest_lineage_hash"]).withColumn("date", F.to_date("event_time")).withColumn("batch", F.lit(number))
-        spark = batch.sparkSession
-        if number and not spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(out).select("path").isEmpty():
-            days = dated.select("date").distinct()
-            earlier = spark.read.parquet(out).where(F.col("batch") < number).join(days, "date", "left_semi")
-            dated = dated.join(earlier.select("ingest_lineage_hash").distinct(), "ingest_lineage_hash", "left_anti")
+        dated = good.withColumn("date", F.to_date("event_time")).withColumn("batch", F.lit(number))
         dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "vendor", "date").parquet(out)
 
     return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def each_lineage_once(spark: SparkSession, landed: str, within: str = "30 days", per_trigger: int = 100) -> DataFrame:
+    """A stream of the events of landed folders (a pattern of what `stream_ingest` wrote), each lineage once.
+
+    The lineages seen are kept in the state store, by the time at which they arrive: nothing is late, and what is
+    delivered again within the time given is left out. No earlier output is read.
+    """
+    events = spark.readStream.schema(CANONICAL).option("maxFilesPerTrigger", per_trigger).option("recursiveFileLookup", True).parquet(landed)
+    arrived = events.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["ingest_lineage_hash"]).drop("_arrived")
+
+
+def write_dated(events: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """A stream of canonical events to Parquet by vendor and date; every batch is committed once."""
+    dated = events.withColumn("date", F.to_date("event_time"))
+    return dated.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).partitionBy("vendor", "date")
+
+
+def write_updates(totals: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+    """A stream of running totals: each batch writes the totals that changed, in a folder of its number. `latest` reads them."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+
+    return totals.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+
+
+def latest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last total of each key."""
+    rest = [c for c in updates.columns if c not in (*keys, "batch")]
+    return updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
+
+
+def run_to_end(writer: DataStreamWriter) -> None:
+    """Take what there is now, in batches, and stop."""
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def stream_burst(df: DataFrame, window_s: int = config.DETECT["window_s"], watermark: str = "10 minutes") -> DataFrame:
     """Write events by user, domain and tumbling window; rows later than the watermark are left out."""
     kept = df.withWatermark("event_time", watermark).where((F.col("action") == "allow") & is_write())

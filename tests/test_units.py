@@ -202,3 +202,21 @@ def test_overrides_take_a_dataframe(spark):
     entries = spark.createDataFrame([("a.net", False, "high", None, False), ("m.a.net", True, "low", None, False)], "key string, whole boolean, o_risk string, o_usage string, block boolean")
     got = {r.norm_host: (r.risk_level, r.overridden) for r in rules.apply_overrides(df, entries).collect()}
     assert got == {"m.a.net": ("low", True), "b.a.net": ("high", True), "c.org": ("medium", False)}
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_batches_by_characters_equal_packing_row_by_row(spark, monkeypatch, block):
+    import random
+
+    monkeypatch.setattr(budget, "BLOCK", block)
+    rng = random.Random(block)
+    rows = [(rng.choice(["aa", "ab", "0f"]) + f"{i:05d}", "x" * rng.choice([0, 1, 30, 60, 99, 100, 101, 250])) for i in range(300)] + [("ff1", None)]
+    got = {r.url_signature: (r.shard, r.batch, r.n) for r in budget.make_batches(spark.createDataFrame([(s, t, i) for i, (s, t) in enumerate(rows)], "url_signature string, payload string, n int"), 5, 100).collect()}
+    want = {}
+    for shard in {s[:2] for s, _ in rows}:
+        batch, n, used = 0, 0, 0
+        for s, t in sorted((s, t or "") for s, t in rows if s[:2] == shard):
+            if n and (n == 5 or used + len(t) > 100):
+                batch, n, used = batch + 1, 0, 0
+            n, used, want[s] = n + 1, used + len(t), (shard, batch)
+    assert {s: v[:2] for s, v in got.items()} == want and len(got) == 301
