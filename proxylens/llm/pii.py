@@ -126,7 +126,7 @@ def features(rank: Column, value: Column, before: Column, after: Column) -> Colu
     count = lambda chars: F.length(F.regexp_replace(value, f"[^{chars}]", ""))
     digits = digits_of(value)
     parts = F.split(F.trim(F.regexp_replace(value, "[^0-9]+", " ")), " ")
-    flags = [F.length(digits), F.length(value), count("A-Za-z"), count(" "), count("().\\[\\]_/-"), F.size(parts), F.forall(parts, lambda p: p.rlike(OCTET)), F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(False), value.contains("@"), value.rlike("(?i)[({\\[]at[)}\\]]"), value.rlike("(?i) at "), value.rlike("(?i)[({\\[]dot[)}\\]]"), value.rlike("(?i) dot "), value.contains("("), before.endswith("+"), before.rlike("[A-Za-z0-9_.]$"), after.rlike("^[A-Za-z0-9_]"), before.rlike(CUES), value.rlike("[.] "), value.rlike(NAMES), value.rlike("^[A-Za-z]*[0-9._+-][A-Za-z0-9._+-]* ?[@(\\[{a]"), value.contains(","), value.rlike("[\\[(][.]")]
+    flags = [F.length(digits), F.length(value), count("A-Za-z"), count(" "), count("(){}.\\[\\]_/-"), F.size(parts), F.forall(parts, lambda p: p.rlike(OCTET)), F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(False), value.contains("@"), value.rlike("(?i)[({\\[]at[)}\\]]"), value.rlike("(?i) at "), value.rlike("(?i)[({\\[]dot[)}\\]]"), value.rlike("(?i) dot "), value.contains("("), before.endswith("+"), before.rlike("[A-Za-z0-9_.]$"), after.rlike("^[A-Za-z0-9_]"), before.rlike(CUES), value.rlike("[.] "), value.rlike(NAMES), value.rlike("^[A-Za-z]*[0-9._+-][A-Za-z0-9._+-]* ?[@(\\[{a]"), value.contains(","), value.rlike("[\\[(][.]")]
     return F.array(*[(rank == r).cast("double") for r in range(len(KINDS))], *[f.cast("double") for f in flags])
 
 
@@ -166,8 +166,11 @@ def varied(labelled: DataFrame) -> DataFrame:
     list_of = lambda sep: F.regexp_replace(v, "\\.", sep)
     off = F.concat(F.substring(d, 1, 3), (F.substring(d, 4, 1).try_cast("int") + 1) % 10, F.substring(d, 5, 20))
     decoys = [F.when(r == 0, F.concat(word(1, "look"), F.lit(a), word(-2, "shop"), F.lit(b), word(-1, "then"))).when(r == 1, list_of(c)).when(r == 2, F.regexp_replace(off, "(?<=^(....){1,4})(?=.)", e)).otherwise(F.concat_ws(g, F.substring(d, 1, 2), F.substring(d, 3, 2), F.substring(d, 5, 4))) for a, b, c, e, g in ((" at ", " dot ", ",", ".", "-"), (" at ", ".", "-", "/", "/"))]
-    plainly = good.where(r == 0).withColumn("value", F.concat(F.regexp_replace(F.substring_index(v, "@", 1), "[^A-Za-z]", ""), F.lit(" (at) "), F.substring_index(v, "@", -1))).where("value not like ' %'")
-    return reduce(DataFrame.union, [labelled, good.withColumn("value", spelled), good.withColumn("value", bracketed), plainly, *(good.withColumn("value", x).withColumn("y", F.lit(0.0)) for x in decoys)])
+    # names without dots and digits, where only the brackets tell
+    name, host = F.regexp_replace(F.substring_index(v, "@", 1), "[^A-Za-z]", ""), F.substring_index(v, "@", -1)
+    named = good.where((r == 0) & (F.length(name) > 0))
+    plainly = [named.withColumn("value", F.concat(name, F.lit(" (at) "), host)), named.withColumn("value", F.concat(name, F.lit(" [at] "), F.regexp_replace(host, "\\.(?=[A-Za-z0-9-]+$)", " [dot] "))), named.withColumn("value", F.concat(name, F.lit("(at)"), host))]
+    return reduce(DataFrame.union, [labelled, good.withColumn("value", spelled), good.withColumn("value", bracketed), *plainly, *(good.withColumn("value", x).withColumn("y", F.lit(0.0)) for x in decoys)])
 
 
 def apart(spans: Column, others: Column) -> Column:
