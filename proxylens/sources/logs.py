@@ -97,7 +97,7 @@ def file_inventory(spark: SparkSession, path: str, events: DataFrame | None = No
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:
-    """file, size, modified of the files of a path; their content is not read."""
+    """file, size, modified of the files of a path that hold anything; their content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
