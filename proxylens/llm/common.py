@@ -55,8 +55,8 @@ def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str, most_rows:
     """rows with their match in table, which has a row for each key and how many rows have it (n). Where the table is too large for a broadcast, its hot keys, of which there are few, are met on the map side and only the others shuffled."""
     if is_small(table, most_rows):
         return rows.join(F.broadcast(table), key)
-    hot, others = table.where(F.col(n) > HOT), table.where(F.col(n) <= HOT)
-    return rows.join(broadcast_if_small(hot, most_rows), key).unionByName(rows.join(others, key))
+    hot, others = broadcast_if_small(table.where(F.col(n) > HOT), most_rows), table.where(F.col(n) <= HOT)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(others, key))
 
 
 def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
