@@ -30,6 +30,8 @@ from proxylens.llm.common import ship_package
 BLOCK, RATE = 4096, 8000
 #: Bytes of payload that are handled side by side.
 BATCH_BYTES = 2 << 20
+#: Frames that are worked on at a time.
+GROUP = 512
 ORDER, PRECISION = 4, 12
 FIXED = {0: [], 1: [1], 2: [2, -1], 3: [3, -3, 1], 4: [4, -6, 4, -1]}
 
@@ -184,6 +186,16 @@ def _encode_frames(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, numbe
     return out, frame_bytes
 
 
+def _md5_of_signed(parts: Sequence[bytes | np.ndarray]) -> bytes:
+    """MD5 of 8-bit samples as signed numbers, taken piece by piece."""
+    digest = hashlib.md5()
+    for part in parts:
+        values = np.frombuffer(part, np.uint8)
+        for lo in range(0, len(values), BATCH_BYTES):
+            digest.update((values[lo : lo + BATCH_BYTES] ^ 0x80).tobytes())
+    return digest.digest()
+
+
 def encode_many(payloads: Sequence[bytes]) -> list[bytes]:
     """A FLAC stream for each payload of 8-bit samples (byte 128 is silence); tails under 16 samples are allowed only as last block."""
     if not payloads:
@@ -195,16 +207,23 @@ def encode_many(payloads: Sequence[bytes]) -> list[bytes]:
     numbers = np.arange(len(stream_of)) - np.repeat(np.cumsum(counts) - counts, counts)
     first = (np.cumsum(lengths) - lengths)[stream_of] + numbers * BLOCK
     sizes = np.minimum(BLOCK, lengths[stream_of] - numbers * BLOCK)
-    body, frame_bytes = _encode_frames(data, first, sizes, numbers) if len(first) else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
-    raw, ends, out, f = body.tobytes(), np.concatenate([[0], np.cumsum(frame_bytes)]), [], 0
+    bodies, frame_bytes = [], [np.zeros(0, np.int64)]
+    for lo in range(0, len(first), GROUP):  # what is worked on at a time does not grow with a payload
+        hi = min(lo + GROUP, len(first))
+        a, z = int(first[lo]), int(first[hi - 1] + sizes[hi - 1])
+        body, own = _encode_frames(data[a:z], first[lo:hi] - a, sizes[lo:hi], numbers[lo:hi])
+        bodies.append(body.tobytes())
+        frame_bytes.append(own)
+    frame_bytes = np.concatenate(frame_bytes)
+    raw, ends, out, f = b"".join(bodies), np.concatenate([[0], np.cumsum(frame_bytes)]), [], 0
+    bodies.clear()
     for payload, count in zip(payloads, counts.tolist(), strict=True):
         at = ends[f : f + count + 1]
         points = b"".join(int(i * BLOCK).to_bytes(8, "big") + int(at[i] - at[0]).to_bytes(8, "big") + int(sizes[f + i]).to_bytes(2, "big") for i in range(count))
         own = frame_bytes[f : f + count]
         info = BLOCK.to_bytes(2, "big") * 2 + b"".join(int(x).to_bytes(3, "big") for x in ((own.min(), own.max()) if count else (0, 0)))
         info += (RATE << 44 | 7 << 36 | len(payload)).to_bytes(8, "big")
-        signed = np.frombuffer(payload, np.uint8) ^ 0x80
-        info += hashlib.md5(signed.tobytes()).digest()
+        info += _md5_of_signed([payload])
         table = bytes([0x83]) + len(points).to_bytes(3, "big") + points
         out.append(b"fLaC" + bytes([0]) + len(info).to_bytes(3, "big") + info + table + raw[at[0] : at[count]])
         f += count
@@ -378,8 +397,11 @@ def decode_many(streams: Sequence[bytes]) -> list[list[tuple[int, bytes]]]:
         at += len(stream)
     seek = [(n, body[0] + offset) for n, body in enumerate(bodies) if body[4] is not None for _, offset in body[4]]
     frames: list[list[np.ndarray]] = [[] for _ in streams]
-    for (n, _), samples in zip(seek, _decode_frames(buf, [x for _, x in seek])[0] if seek else [], strict=True):
-        frames[n].append(samples)
+    for lo in range(0, len(seek), GROUP):
+        part, end = seek[lo : lo + GROUP], seek[lo + GROUP][1] if lo + GROUP < len(seek) else len(buf)
+        begin = part[0][1]
+        for (n, _), samples in zip(part, _decode_frames(buf[begin:end], [x - begin for _, x in part])[0], strict=True):
+            frames[n].append(samples.copy())  # on its own, not as a view of the group's work arrays
     ahead = {n: body[0] for n, body in enumerate(bodies) if sum(map(len, frames[n])) < body[2] and not frames[n]}
     while ahead:  # without a seek table a frame is found where the one before ends
         samples, ends = _decode_frames(buf, list(ahead.values()))
@@ -387,8 +409,7 @@ def decode_many(streams: Sequence[bytes]) -> list[list[tuple[int, bytes]]]:
             frames[n].append(own)
         ahead = {n: int(e) for n, e in zip(list(ahead), ends, strict=True) if e < bodies[n][1]}
     for own, (_, _, total, md5, _) in zip(frames, bodies, strict=True):
-        joined = np.concatenate([np.zeros(0, np.uint8), *own])
-        if len(joined) != total or (any(md5) and hashlib.md5((joined ^ 0x80).tobytes()).digest() != md5):
+        if sum(map(len, own)) != total or (any(md5) and _md5_of_signed([np.ascontiguousarray(x) for x in own]) != md5):
             raise ValueError("a stream fails its MD5")
         offsets = np.cumsum([0, *map(len, own)])
         found.append([(int(o), x.tobytes()) for o, x in zip(offsets, own, strict=False)])
@@ -458,12 +479,17 @@ def pcm_blocks(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def signal(blocks: Sequence[tuple[int, bytes]]) -> dict:
     """The whole signal of decoded blocks and what its samples say: sum, energy, peak, sign changes, and the block with most energy."""
-    pcm = b"".join(x for _, x in blocks)
-    x = np.frombuffer(pcm, np.uint8).astype(np.int64) - 128
-    loud = [int(((np.frombuffer(b, np.uint8).astype(np.int64) - 128) ** 2).sum()) for _, b in blocks]
+    loud, total, peak, crossings, last = [], 0, 0, 0, None
+    for _, part in blocks:
+        x = np.frombuffer(part, np.uint8).astype(np.int64) - 128
+        loud.append(int((x**2).sum()))
+        total, peak = total + int(x.sum()), max(peak, int(np.abs(x).max(initial=0)))
+        below = x < 0
+        crossings += int((below[1:] != below[:-1]).sum()) + (last is not None and len(x) > 0 and bool(below[0]) != last)
+        last = bool(below[-1]) if len(x) else last
     return {
-        "pcm": pcm, "blocks": len(blocks), "total": int(x.sum()), "energy": sum(loud), "peak": int(np.abs(x).max(initial=0)),
-        "crossings": int(((x[1:] < 0) != (x[:-1] < 0)).sum()), "loudest_offset": blocks[int(np.argmax(loud))][0] if blocks else None,
+        "pcm": b"".join(x for _, x in blocks), "blocks": len(blocks), "total": total, "energy": sum(loud), "peak": peak,
+        "crossings": crossings, "loudest_offset": blocks[int(np.argmax(loud))][0] if blocks else None,
     }
 
 
