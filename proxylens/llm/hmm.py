@@ -28,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proxylens.llm.common import saved, ship_package
+from proxylens.llm.common import join_counted, saved, ship_package
 
 STATES, ROUNDS, OWN, TAIL = 12, 5, 1023, 1024
 #: Words whose counts are broadcast; all others are joined.
 FREQUENT = 150_000
+#: Most words that are broadcast when texts ask for them.
+MOST_WORDS = 1_000_000
 #: Tokens whose texts are handled side by side, tokens whose states are held at once, and cells an octave of the histogram of counts.
 GROUP, SEGMENT, OCTAVE = 1 << 22, 1 << 20, 32
 SMOOTH = 0.1
@@ -233,9 +235,9 @@ def _encoder(shared):
                 own_sum = float(log[cls < own].sum())
                 sure.append(own_sum)
                 rest.append(float(log.sum()) - own_sum)
-                misses.append([tokens[i] for i in missed])
+                misses.append(Counter(tokens[i] for i in missed))
             n = pa.array([len(s) // 2 for s in seqs], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), n, pa.array(known, pa.int64()), pa.array(sure, pa.float64()), pa.array(rest, pa.float64()), pa.array(seqs, pa.binary()), pa.array(misses, pa.list_(pa.binary()))], ["doc_id", "held_out", "n_tokens", "known", "own_log", "rest_log", "seq", "misses"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), n, pa.array(known, pa.int64()), pa.array(sure, pa.float64()), pa.array(rest, pa.float64()), pa.array(seqs, pa.binary()), pa.array([list(m) for m in misses], pa.list_(pa.binary())), pa.array([list(m.values()) for m in misses], pa.list_(pa.int64()))], ["doc_id", "held_out", "n_tokens", "known", "own_log", "rest_log", "seq", "misses", "times"])
 
     return encode
 
@@ -333,7 +335,7 @@ def train(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own: int
 
     shared = spark.sparkContext.broadcast(classes)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    encoded = docs.mapInArrow(_encoder(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, seq binary, misses array<binary>")
+    encoded = docs.mapInArrow(_encoder(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, seq binary, misses array<binary>, times array<long>")
     encoded = saved(encoded.withColumn("uid", F.monotonically_increasing_id()), "hmm-texts")  # stays as written
 
     model = first_model(class_counts, states, seed)
@@ -354,9 +356,11 @@ def score_corpus(docs: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document; options: see train."""
     spark, t = docs.sparkSession, train(docs, **options)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    missed = t.encoded.select("uid", F.explode("misses").alias("word")).join(t.words, "word", "left")
-    looked = missed.groupBy("uid").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("missed_log"), F.count("n").alias("found"))
-    scored = t.encoded.drop("misses").mapInArrow(_scorer(spark.sparkContext.broadcast(t.model)), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, uid long, state_score double, tail_mass double")
+    # each text asks once for a word; a word that very many texts ask for is met on the map side
+    asked = t.encoded.select("uid", F.explode(F.arrays_zip("misses", "times")).alias("m")).select("uid", F.col("m.misses").alias("word"), F.col("m.times").alias("k"))
+    wanted = saved(asked.groupBy("word").agg(F.count("*").alias("texts")).join(t.words, "word", "left"), "hmm-asked")
+    looked = join_counted(asked, wanted, "word", "texts", MOST_WORDS).groupBy("uid").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("missed_log"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
+    scored = t.encoded.drop("misses", "times").mapInArrow(_scorer(spark.sparkContext.broadcast(t.model)), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, uid long, state_score double, tail_mass double")
     joined = scored.join(looked, "uid", "left")
     tail_log = F.col("rest_log") + F.coalesce("missed_log", F.lit(0.0))
     base = F.col("own_log") + tail_log - F.col("n_tokens") * F.lit(float(np.log10(t.tokens + SMOOTH * (t.distinct + 1))))
