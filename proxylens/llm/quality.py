@@ -162,11 +162,12 @@ def percentile(scores: DataFrame, share: float) -> float | None:
 
 
 def taught(docs: DataFrame, marks: DataFrame, sample: int) -> tuple[Model, bool]:
-    """The model of the first `sample` labelled documents, and whether there was something to learn. Of rows with the same id the one with the least features stands for all."""
+    """The model of the first `sample` labelled documents, and whether there was something to learn. Rows with the same id all count, but of more than 2 * sample rows so many are drawn by a hash of what they hold."""
     chosen = broadcast_if_small(saved(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "quality-sample"), sample)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id").select("doc_id", "y", "text")
-    rows = texts.mapInArrow(_featurize, f"doc_id {kind}, y double, features array<double>").groupBy("doc_id").agg(F.first("y").alias("y"), F.min("features").alias("features")).collect()  # `sample` at most
+    seen = texts.mapInArrow(_featurize, f"doc_id {kind}, y double, features array<double>")
+    rows = seen.orderBy(F.xxhash64("doc_id", "features"), "doc_id", "features").limit(2 * sample).collect()
     x, y = np.array([r.features for r in rows]).reshape(len(rows), len(FEATURES)), np.array([r.y for r in rows])
     if len(set(y > 0.5)) < 2:
         return Model(np.zeros(2 * len(FEATURES)), 0.0), False
