@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proxylens import config
+from proxylens.operators.skew import hashable, join_spread
+
 
 def suffixes_of(host: Column) -> Column:
     """a.b.c -> [a.b.c, b.c, c], without port."""
@@ -25,15 +27,20 @@ def suffix_table(spark: SparkSession, suffixes: Sequence[str] = config.SUFFIXES,
     return raw.select(F.regexp_replace("value", "^(!|\\*\\.)", "").alias("suffix"), kind.alias("kind")).distinct()
 
 
-def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: str = "dest_domain") -> DataFrame:
-    """df with the label before the longest public suffix and that suffix; the host where none fits. Works on distinct hosts."""
-    hosts = df.select(F.col(host_col).alias("_host")).where(F.col("_host").isNotNull()).distinct()
-    parts = hosts.select("_host", F.size(F.split("_host", "\\.")).alias("n"), F.posexplode(suffixes_of(F.col("_host"))).alias("pos", "suffix"))
+def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: str = "dest_domain", hot: int | None = None) -> DataFrame:
+    """df with the label before the longest public suffix and that suffix; the host where none fits.
+
+    Works on distinct hosts, each with its suffixes as keys of an equi-join; rows of a hot host are spread by
+    what they hold when they are joined back.
+    """
+    hosts = df.groupBy(F.col(host_col).alias("_host")).agg(F.count("*").alias("_host_rows"))
+    parts = hosts.where(F.col("_host").isNotNull()).select("_host", F.size(F.split("_host", "\\.")).alias("n"), F.posexplode(suffixes_of(F.col("_host"))).alias("pos", "suffix"))
     found = parts.join(suffixes, "suffix")
     # labels that belong to the public suffix, from the right
     size = F.col("n") - F.col("pos") + F.when(F.col("kind") == "wildcard", 1).when(F.col("kind") == "exception", -1).otherwise(0)
     best = found.groupBy("_host", "n").agg(F.max_by(size, F.struct(F.col("kind") == "exception", size)).alias("size"))
     labels = F.split(F.regexp_replace("_host", ":[0-9]+$", ""), "\\.")
     name = F.when(F.col("n") > F.col("size"), F.array_join(F.slice(labels, F.col("n") - F.col("size"), F.col("size") + 1), ".")).otherwise(F.col("_host"))
-    named = best.select("_host", name.alias("_domain"))
-    return df.join(named, df[host_col] == named["_host"], "left").withColumn(out, F.coalesce("_domain", host_col)).drop("_host", "_domain")
+    named = hosts.join(best.select("_host", name.alias("_domain")), "_host", "left").select(F.col("_host").alias(host_col), "_host_rows", F.coalesce("_domain", "_host").alias(out))
+    rows = df.drop(out)
+    return join_spread(rows, named, [host_col], "_host_rows", hashable(rows), hot)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -285,10 +287,21 @@ def drilldown(events: DataFrame, cache: DataFrame, key: str, k: int = 20) -> Dat
     return per.orderBy(F.desc("events"), key).limit(k)
 
 
+def _hash_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row: the hash of all lines, joined by line feeds."""
+    digest, first = hashlib.sha256(), True
+    for pdf in batches:
+        for line in pdf["line"]:
+            digest.update(("" if first else "\n").encode() + line.encode())
+            first = False
+    yield pd.DataFrame({"manifest_hash": [digest.hexdigest()]})
+
+
 def manifest_hash(files: DataFrame) -> DataFrame:
-    """One row: sha256 of the sorted lines hash|vendor|min|max."""
-    line = F.concat_ws("|", "file_hash", "vendor", "min_time", "max_time")
-    return files.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("manifest_hash"))
+    """One row: sha256 of the sorted lines hash|vendor|min|max. One task sorts the lines, a line a file, on disk if need be, and hashes them as they come."""
+    lines = files.select(F.concat_ws("|", "file_hash", "vendor", "min_time", "max_time").alias("line"))
+    hashed = lines.repartition(1).sortWithinPartitions("line").mapInPandas(_hash_lines, "manifest_hash string")
+    return hashed.agg(F.coalesce(F.max("manifest_hash"), F.sha2(F.lit(""), 256)).alias("manifest_hash"))
 
 
 def run_identity(manifest: DataFrame, *parts: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from proxylens import config
 from proxylens.functions.fields import bytes_bucket, method_group
 from proxylens.operators.domains import registrable_domain
-from proxylens.operators.skew import join_spread
+from proxylens.operators.skew import hashable, join_spread
 
 
 def decoded(part: Column) -> Column:
@@ -68,10 +68,10 @@ def punycode_hosts(df: DataFrame, host_col: str) -> DataFrame:
     return df.join(named, df[host_col] == named["_host"], "left").withColumn(host_col, F.coalesce("_ascii", host_col)).drop("_host", "_ascii")
 
 
-def normalize_urls(df: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:
-    """df with the columns of normalized_urls; each distinct url is normalised once."""
-    urls = normalized_urls(df.select(F.col(url_col).alias("_url")).distinct(), "_url", keep_keys, idn)
-    return df.join(urls, F.col(url_col).eqNullSafe(F.col("_url"))).drop("_url")
+def normalize_urls(df: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), idn: bool = True, hot: int | None = None) -> DataFrame:
+    """df with the columns of normalized_urls; each distinct url is normalised once, and rows of a hot url are spread by what they hold."""
+    urls = df.groupBy(url_col).agg(F.count("*").alias("_url_rows"))
+    return join_spread(df, normalized_urls(urls, url_col, keep_keys, idn), [url_col], "_url_rows", hashable(df), hot)
 
 
 def normalized_urls(df: DataFrame, url_col: str, keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:

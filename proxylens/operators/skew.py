@@ -16,6 +16,11 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)])
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """The columns whose values tell df's rows apart in a hash."""
+    return [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+
+
 def join_spread(rows: DataFrame, table: DataFrame, on: Sequence[str], n: str, salt: Sequence[str], hot: int | None = None) -> DataFrame:
     """rows with the other columns of table, which has one row for each value of `on` (null is a value) and says how many rows have it (n).
 

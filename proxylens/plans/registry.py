@@ -549,4 +549,4 @@ def rule_accuracy(spark, sf_dir):
     return quality.rule_accuracy(known, events.groupBy("norm_host").agg(F.when(most, "genai").otherwise("business").alias("usage_type")))
 
 
-from proxylens.plans import rawlog, taxonomylog, ingestlog, vendorlog  # noqa: E402, F401 (they register their queries)
+from proxylens.plans import rawlog, taxonomylog, ingestlog, vendorlog, checklog  # noqa: E402, F401 (they register their queries)
