@@ -56,7 +56,7 @@ def detect(df: DataFrame, run_id: str, a_bytes: int = config.DETECT["a_bytes"],
     allowed = F.col("action") == "allow"
     cells = events.groupBy(*keys).agg(F.count(F.when(allowed & is_write(methods), 1)).alias("writes"), F.sum(F.when(allowed, F.col("bytes_sent"))).alias("sent"), F.count("*").alias("_n"))
     totals = cells.select(*keys, "_n", F.sum("writes").over(Window.partitionBy("user_id", "dest_domain", "_w")).alias("burst_count"), F.coalesce(F.sum("sent").over(Window.partitionBy("user_id", "dest_domain", "_day")), F.lit(0)).alias("cumulative_bytes"))
-    seen = join_spread(events, totals, keys, "_n", ["ingest_lineage_hash"])
+    seen = join_spread(events, totals, keys, "_n", ["ingest_lineage_hash"], counts=cells.select(*keys, "_n"))
     traced = F.col("ingest_lineage_hash") != ""
     is_burst, is_cumulative = F.col("burst_count") >= burst_n, F.col("cumulative_bytes") >= cum_bytes
     marked = seen.withColumn("is_a", traced & F.coalesce(allowed, F.lit(False)) & (F.col("bytes_sent") >= a_bytes))

@@ -43,4 +43,4 @@ def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: s
     name = F.when(F.col("n") > F.col("size"), F.array_join(F.slice(labels, F.col("n") - F.col("size"), F.col("size") + 1), ".")).otherwise(F.col("_host"))
     named = hosts.join(best.select("_host", name.alias("_domain")), "_host", "left").select(F.col("_host").alias(host_col), "_host_rows", F.coalesce("_domain", "_host").alias(out))
     rows = df.drop(out)
-    return join_spread(rows, named, [host_col], "_host_rows", hashable(rows), hot)
+    return join_spread(rows, named, [host_col], "_host_rows", hashable(rows), hot, hosts.withColumnRenamed("_host", host_col))

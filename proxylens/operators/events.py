@@ -20,15 +20,16 @@ def lineage_hash(df: DataFrame, columns: list[str], file_col: str) -> DataFrame:
     """df with ingest_lineage_hash of file, sorted items and the ordinal among equal rows of the file: unique and the same on every run. No group of equal rows is one task's."""
     items = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0"))) for c in sorted(columns)]
     content = df.withColumn("_content", F.sha2(F.concat_ws("\x1f", F.col(file_col), *items), 256))
-    repeated = content.groupBy("_content").count().where("count > 1").select("_content")
-    single = content.join(repeated, "_content", "left_anti").withColumn("_n", F.lit(1))
-    # rows that are equal in all columns are counted before they are shuffled, then dealt out by blocks of their numbers
-    counted = content.join(repeated, "_content", "left_semi").groupBy("_content", *[f"`{c}`" for c in df.columns]).agg(F.count("*").alias("_rows"))
-    before = F.coalesce(F.sum("_rows").over(Window.partitionBy("_content").orderBy(*[f"`{c}`" for c in df.columns]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = counted.withColumn("_first", before + 1).withColumn("_last", F.col("_first") + F.col("_rows") - 1).withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(BLOCK).cast("long"))))
-    several = blocks.repartition("_content", "_from").withColumn("_n", F.explode(F.sequence("_from", F.least("_last", F.col("_from") + BLOCK - 1)))).drop("_rows", "_first", "_last", "_from")
-    numbered = single.unionByName(several)
-    return numbered.withColumn("ingest_lineage_hash", F.sha2(F.concat_ws("|", "_content", "_n"), 256)).drop("_content", "_n")
+    # rows that are equal in all columns are counted before they are shuffled, and dealt out by blocks of their numbers
+    every = [f"`{c}`" for c in df.columns]
+    counted = content.groupBy("_content", *every).agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy("_content").orderBy(*every).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counted.withColumn("_first", before + 1).withColumn("_last", F.col("_first") + F.col("_rows") - 1)
+    few = placed.where(F.col("_rows") <= BLOCK).withColumn("_n", F.explode(F.sequence("_first", "_last")))
+    blocks = placed.where(F.col("_rows") > BLOCK).withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(BLOCK).cast("long"))))
+    many = blocks.repartition("_content", "_from").withColumn("_n", F.explode(F.sequence("_from", F.least("_last", F.col("_from") + BLOCK - 1)))).drop("_from")
+    numbered = few.unionByName(many).drop("_rows", "_first", "_last")
+    return numbered.select(*every, F.sha2(F.concat_ws("|", "_content", "_n"), 256).alias("ingest_lineage_hash"))
 
 
 def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffixes: DataFrame | None = None, compat: bool = False) -> DataFrame:

@@ -71,7 +71,7 @@ def punycode_hosts(df: DataFrame, host_col: str) -> DataFrame:
 def normalize_urls(df: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), idn: bool = True, hot: int | None = None) -> DataFrame:
     """df with the columns of normalized_urls; each distinct url is normalised once, and rows of a hot url are spread by what they hold."""
     urls = df.groupBy(url_col).agg(F.count("*").alias("_url_rows"))
-    return join_spread(df, normalized_urls(urls, url_col, keep_keys, idn), [url_col], "_url_rows", hashable(df), hot)
+    return join_spread(df, normalized_urls(urls, url_col, keep_keys, idn), [url_col], "_url_rows", hashable(df), hot, urls)
 
 
 def normalized_urls(df: DataFrame, url_col: str, keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:
@@ -130,16 +130,16 @@ def add_signature(df: DataFrame, version: str = config.SIGNATURE_VERSION, key_pa
     return event_parts(url_parts(df, key_params), version)
 
 
-def url_dictionary(df: DataFrame, suffixes: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), key_params: Sequence[str] = ()) -> DataFrame:
-    """A row for each distinct url of df: its normal form, domain and part of the signature, and how many rows have it (url_rows)."""
-    urls = df.groupBy(url_col).agg(F.count("*").alias("url_rows"))
+def url_dictionary(urls: DataFrame, suffixes: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), key_params: Sequence[str] = ()) -> DataFrame:
+    """urls, a row for each, with their normal form, domain and part of the signature."""
     return registrable_domain(url_parts(normalized_urls(urls, url_col, keep_keys), key_params), "norm_host", suffixes)
 
 
 def sign_events(df: DataFrame, suffixes: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), key_params: Sequence[str] = (), version: str = config.SIGNATURE_VERSION) -> DataFrame:
     """df with normal urls, dest_domain and url_signature: one dictionary of the distinct urls, joined back once; rows of a hot url are spread by lineage."""
-    known = url_dictionary(df, suffixes, url_col, keep_keys, key_params)
-    return event_parts(join_spread(df, known, [url_col], "url_rows", ["ingest_lineage_hash"]), version)
+    urls = df.groupBy(url_col).agg(F.count("*").alias("url_rows"))
+    known = url_dictionary(urls, suffixes, url_col, keep_keys, key_params)
+    return event_parts(join_spread(df, known, [url_col], "url_rows", ["ingest_lineage_hash"], counts=urls), version)
 
 
 def signature_groups(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from proxylens.functions import fields
 from proxylens.operators import budget, quality, reports, signatures
 from proxylens.plans import proxylog as p
-from proxylens.plans.registry import _EVIDENCE, query
+from proxylens.plans.register import query
+from proxylens.plans.registry import _EVIDENCE
 from proxylens.sources import logs
 from proxylens.sources.scratch import saved, scratch_path
 

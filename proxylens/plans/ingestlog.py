@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from proxylens.operators import detect, events, metrics, reports, stats
 from proxylens.plans import proxylog as p
 from proxylens.plans.rawlog import VENDOR, shown
-from proxylens.plans.registry import query
+from proxylens.plans.register import query
 from proxylens.sources import logs
 from proxylens.sources.scratch import saved, scratch_path
 from proxylens.streaming import streams

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from proxylens.operators import events, quality
 from proxylens.plans import proxylog as p
-from proxylens.plans.registry import query
+from proxylens.plans.register import query
 from proxylens.sources import logs
 from proxylens.sources.scratch import scratch_path
 

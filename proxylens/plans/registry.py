@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,22 +9,9 @@ from pyspark.sql import functions as F
 from proxylens.operators import budget, cache, detect, domains, metrics, quality, reports, rules, signatures, stats
 from proxylens.plans import proxylog as p
 from proxylens.plans.oracles import sql
+from proxylens.plans.register import ORACLES, QUERIES, query
 from proxylens.sources.scratch import saved, scratch_path
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(oracle: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLES[f.__name__] = sql(oracle)
-        return f
-
-    return put
-
-
 def clock(c: str):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
 

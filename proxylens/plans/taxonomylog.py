@@ -9,7 +9,7 @@ from proxylens import config
 from proxylens.functions import codes
 from proxylens.operators import budget, cache, metrics, quality, reports, rules, stats, taxonomy
 from proxylens.plans import proxylog as p
-from proxylens.plans.registry import query
+from proxylens.plans.register import query
 
 LISTS = ("fs", "uc", "dt", "ch", "im", "rs", "lg", "ob")
 

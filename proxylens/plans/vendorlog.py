@@ -9,7 +9,7 @@ from proxylens import config
 from proxylens.operators import domains, events, taxonomy
 from proxylens.plans import proxylog as p
 from proxylens.plans.rawlog import shown
-from proxylens.plans.registry import query
+from proxylens.plans.register import query
 from proxylens.sources import logs
 from proxylens.sources.scratch import scratch_path
 
