@@ -31,7 +31,7 @@ BLOCK, RATE = 4096, 8000
 #: Bytes of payload that are handled side by side.
 BATCH_BYTES = 2 << 20
 #: Frames that are worked on at a time.
-GROUP = 512
+GROUP = 1024
 ORDER, PRECISION = 4, 12
 FIXED = {0: [], 1: [1], 2: [2, -1], 3: [3, -3, 1], 4: [4, -6, 4, -1]}
 
