@@ -84,7 +84,7 @@ def time_forms(spark, sf_dir):
 @query("SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, substr(sha256('pepper' || user_id), 1, 16) AS user_hash, dest_domain, url_signature, bytes_sent, coalesce(risk_level, 'unknown') AS risk_level FROM ev ORDER BY strftime(event_time, '%Y-%m-%d %H:%M:%S'), substr(sha256('pepper' || user_id), 1, 16), url_signature, bytes_sent LIMIT 100")
 def sanitized_first_events(spark, sf_dir):
     """The export with its limit, which is taken in order of time."""
-    events, known = p.found(spark, sf_dir), p.cache(spark, sf_dir)
+    events, known = p.events_and_cache(spark, sf_dir)
     return reports.sanitized_events(events, known, "pepper", 100).select("event_time", "user_hash", "dest_domain", "url_signature", "bytes_sent", "risk_level")
 
 

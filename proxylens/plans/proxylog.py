@@ -51,10 +51,20 @@ def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.detect(signed(spark, sf_dir), RUN, **PARAMS)
 
 
+def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The signed events, written once."""
+    return saved(signed(spark, sf_dir).drop("pii_hits", "original_path", "original_query", "norm_url", "page_id", "url_full"), "signed")
+
+
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over signed events that are written once, as their totals and the events themselves both come from them."""
-    kept = signed(spark, sf_dir).drop("pii_hits", "original_path", "original_query", "norm_url", "page_id", "url_full")
-    return detect.detect(saved(kept, "signed"), RUN, **PARAMS)
+    """The flagged events over signed ones that are written once, as their totals and the events themselves both come from them."""
+    return detect.detect(kept(spark, sf_dir), RUN, **PARAMS)
+
+
+def events_and_cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The flagged events and the cache of their signatures, both written once, as reports look at them several times."""
+    events = saved(found(spark, sf_dir), "flagged")
+    return events, saved(cache_of(events.select("url_signature", "norm_host", "norm_path_template").distinct()), "cache")
 
 
 def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:

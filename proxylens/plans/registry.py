@@ -268,7 +268,7 @@ def cost_budget_metrics(spark, sf_dir):
 
 
 def _events_cache(spark, sf_dir):
-    return p.found(spark, sf_dir), p.cache(spark, sf_dir)
+    return p.events_and_cache(spark, sf_dir)
 
 
 def _stats_cache(spark, sf_dir):

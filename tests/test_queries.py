@@ -38,9 +38,10 @@ def shared(monkeypatch, held):
 
         monkeypatch.setattr(proxylog, name, get)
 
-    for name in ("log", "raw_log", "signed", "found", "statistics", "sites", "cache", "costs", "files", "records"):
+    for name in ("log", "raw_log", "signed", "kept", "found", "statistics", "sites", "cache", "costs", "files", "records"):
         once(name, saved)
-    once("statistics_and_cache", lambda pair, name: pair)
+    for name in ("statistics_and_cache", "events_and_cache"):
+        once(name, lambda pair, name: pair)
 
 
 def plain(rows, columns):
