@@ -28,13 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proxylens.llm.common import join_counted, saved, ship_package
+from proxylens.llm.common import saved, ship_package
 
 STATES, ROUNDS, OWN, TAIL = 12, 5, 1023, 1024
 #: Words whose counts are broadcast; all others are joined.
 FREQUENT = 150_000
-#: Most words that are broadcast when texts ask for them.
-MOST_WORDS = 1_000_000
 #: Tokens whose texts are handled side by side, tokens whose states are held at once, and cells an octave of the histogram of counts.
 GROUP, SEGMENT, OCTAVE = 1 << 22, 1 << 20, 32
 SMOOTH = 0.1
@@ -356,10 +354,9 @@ def score_corpus(docs: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document; options: see train."""
     spark, t = docs.sparkSession, train(docs, **options)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # each text asks once for a word; a word that very many texts ask for is met on the map side
-    asked = t.encoded.select("uid", F.explode(F.arrays_zip("misses", "times")).alias("m")).select("uid", F.col("m.misses").alias("word"), F.col("m.times").alias("k"))
-    wanted = saved(asked.groupBy("word").agg(F.count("*").alias("texts")).join(t.words, "word", "left"), "hmm-asked")
-    looked = join_counted(asked, wanted, "word", "texts", MOST_WORDS).groupBy("uid").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("missed_log"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
+    # each text asks once for a word, however often it has it
+    asked = t.encoded.select("uid", F.explode(F.arrays_zip("misses", "times")).alias("m")).select("uid", F.col("m.misses").alias("word"), F.col("m.times").alias("k")).join(t.words, "word", "left")
+    looked = asked.groupBy("uid").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("missed_log"), F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
     scored = t.encoded.drop("misses", "times").mapInArrow(_scorer(spark.sparkContext.broadcast(t.model)), f"doc_id {kind}, held_out boolean, n_tokens long, known long, own_log double, rest_log double, uid long, state_score double, tail_mass double")
     joined = scored.join(looked, "uid", "left")
     tail_log = F.col("rest_log") + F.coalesce("missed_log", F.lit(0.0))
