@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,11 +34,16 @@ def lineage_hash(df: DataFrame, columns: list[str], file_col: str) -> DataFrame:
     return numbered.select(*every, F.sha2(F.concat_ws("|", "_content", "_n"), 256).alias("ingest_lineage_hash"))
 
 
-def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffixes: DataFrame | None = None, compat: bool = False) -> DataFrame:
-    """The 24 canonical columns and reject_reason, from string columns as read, an `_file` column, and `_error` of rows that could not be parsed."""
+def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffixes: DataFrame | None = None, compat: bool = False, only: Sequence[str] | None = None) -> DataFrame:
+    """The 24 canonical columns and reject_reason, from string columns as read, an `_file` column, and `_error` of rows that could not be parsed.
+
+    only: the canonical columns that are wanted; lineages and domains take shuffles and are made if they are among them.
+    """
     m = mapping or config.VENDORS[vendor]
     present = [c for c in raw.columns if c not in ("_file", "_error")]
-    source = lineage_hash(raw if "_file" in raw.columns else raw.withColumn("_file", F.lit("")), present, "_file")
+    wanted = [c for c in schemas.COLUMNS if only is None or c in only]
+    rows = raw if "_file" in raw.columns else raw.withColumn("_file", F.lit(""))
+    source = lineage_hash(rows, present, "_file") if "ingest_lineage_hash" in wanted else rows.withColumn("ingest_lineage_hash", F.lit(None).cast("string"))
     pick = lambda field: f.named(m.get(field, []), present)
     url = f.first_nonblank(pick("url"))
     out = source.select(
@@ -65,9 +72,12 @@ def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffi
         "ingest_lineage_hash",
         (F.col("_error").isNotNull() if "_error" in raw.columns else F.lit(False)).alias("_broken"),
     )
-    out = registrable_domain(out, "dest_host", suffixes if suffixes is not None else suffix_table(raw.sparkSession))
+    if "dest_domain" in wanted:
+        # hosts are counted in the rows as they come, before they are numbered
+        seen = raw.select(f.extract_host(url, compat).alias("dest_host"))
+        out = registrable_domain(out, "dest_host", suffixes if suffixes is not None else suffix_table(raw.sparkSession), seen=seen)
     reason = F.coalesce(F.when(F.col("_broken"), F.lit(BROKEN)), *[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in REQUIRED])
-    return out.select(*schemas.COLUMNS, reason.alias("reject_reason"))
+    return out.select(*wanted, reason.alias("reject_reason"))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
