@@ -12,6 +12,7 @@ from proxylens import config
 from proxylens.functions.fields import bytes_bucket, method_group
 from proxylens.operators.domains import registrable_domain
 from proxylens.operators.skew import hashable, join_spread
+from proxylens.sources.scratch import saved
 
 
 def decoded(part: Column) -> Column:
@@ -69,9 +70,9 @@ def punycode_hosts(df: DataFrame, host_col: str) -> DataFrame:
 
 
 def normalize_urls(df: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), idn: bool = True, hot: int | None = None) -> DataFrame:
-    """df with the columns of normalized_urls; each distinct url is normalised once, and rows of a hot url are spread by what they hold."""
-    urls = df.groupBy(url_col).agg(F.count("*").alias("_url_rows"))
-    return join_spread(df, normalized_urls(urls, url_col, keep_keys, idn), [url_col], "_url_rows", hashable(df), hot, urls)
+    """df with the columns of normalized_urls; each distinct url is normalised once and written, and rows of a hot url are spread by what they hold."""
+    urls = saved(df.groupBy(url_col).agg(F.count("*").alias("_url_rows")), "urls")
+    return join_spread(df, saved(normalized_urls(urls, url_col, keep_keys, idn), "normal-urls"), [url_col], "_url_rows", hashable(df), hot, urls)
 
 
 def normalized_urls(df: DataFrame, url_col: str, keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:
@@ -103,10 +104,12 @@ def normalized_urls(df: DataFrame, url_col: str, keep_keys: Sequence[str] = (),
 
 def pii_audit(df: DataFrame, run_id: str) -> DataFrame:
     """One row per signature, kind of hit and original value, with its count."""
-    hit = df.select("url_signature", "original_path", "original_query", F.explode("pii_hits").alias("h"))
+    # events of one signature and url are counted before their hits are taken apart and hashed
+    per = df.where(F.size("pii_hits") > 0).groupBy("url_signature", "original_path", "original_query", "pii_hits").agg(F.count("*").alias("_events"))
+    hit = per.select("url_signature", "original_path", "original_query", "_events", F.explode("pii_hits").alias("h"))
     original = F.when(F.col("h.field_source") == "path", F.col("original_path")).otherwise(F.col("original_query"))
-    keyed = hit.select("url_signature", "h.*", F.sha2(original, 256).alias("original_hash"))
-    return keyed.groupBy("url_signature", "field_source", "pii_type", "redacted_token", "original_hash").agg(F.count("*").alias("occurrence_count")).withColumn("run_id", F.lit(run_id))
+    keyed = hit.select("url_signature", "h.*", F.sha2(original, 256).alias("original_hash"), "_events")
+    return keyed.groupBy("url_signature", "field_source", "pii_type", "redacted_token", "original_hash").agg(F.sum("_events").alias("occurrence_count")).withColumn("run_id", F.lit(run_id))
 
 
 def url_parts(df: DataFrame, key_params: Sequence[str] = ()) -> DataFrame:
@@ -136,9 +139,9 @@ def url_dictionary(urls: DataFrame, suffixes: DataFrame, url_col: str = "url_ful
 
 
 def sign_events(df: DataFrame, suffixes: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), key_params: Sequence[str] = (), version: str = config.SIGNATURE_VERSION) -> DataFrame:
-    """df with normal urls, dest_domain and url_signature: one dictionary of the distinct urls, joined back once; rows of a hot url are spread by lineage."""
-    urls = df.groupBy(url_col).agg(F.count("*").alias("url_rows"))
-    known = url_dictionary(urls, suffixes, url_col, keep_keys, key_params)
+    """df with normal urls, dest_domain and url_signature: one dictionary of the distinct urls, written and joined back once; rows of a hot url are spread by lineage."""
+    urls = saved(df.groupBy(url_col).agg(F.count("*").alias("url_rows")), "urls")
+    known = saved(url_dictionary(urls, suffixes, url_col, keep_keys, key_params), "url-dictionary")
     return event_parts(join_spread(df, known, [url_col], "url_rows", ["ingest_lineage_hash"], counts=urls), version)
 
 
