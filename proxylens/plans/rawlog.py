@@ -9,7 +9,7 @@ from proxylens.operators import events, quality
 from proxylens.plans import proxylog as p
 from proxylens.plans.register import query
 from proxylens.sources import logs
-from proxylens.sources.scratch import scratch_path
+from proxylens.sources.scratch import saved, scratch_path
 
 VENDOR = "paloalto"
 
@@ -109,6 +109,6 @@ def mail_audit(spark, sf_dir):
     """The redaction audit of a log whose urls carry the user's address."""
     from proxylens.operators import signatures
 
-    signed = p.signed(spark, sf_dir).drop("norm_host", "norm_path", "norm_query", "norm_url", "pii_hits", "original_path", "original_query")
+    signed = saved(p.signed(spark, sf_dir).select("url_signature", "user_id"), "signed")
     with_mail = signatures.normalize_urls(signed.withColumn("url_full", F.concat(F.lit("h.com/p?who="), "user_id", F.lit("@example.com"))))
     return signatures.pii_audit(with_mail, p.RUN).groupBy("field_source", "pii_type", "redacted_token").agg(F.count("*").alias("values"), F.sum("occurrence_count").alias("occurrence_count"))
