@@ -87,7 +87,9 @@ _BY_DIMENSION = f"SELECT url_signature, norm_host, norm_path_template, dest_doma
 
 def _evidence(spark, sf_dir) -> DataFrame:
     stats_, known = p.statistics_and_cache(spark, sf_dir)
-    return reports.evidence_by_dimension(stats_, known.join(p.records(spark, sf_dir).drop("norm_host", "norm_path_template"), "url_signature"))
+    # the statistics have a row for each signature: the events are not signed again for their records
+    records = p.records_of(stats_.select("url_signature", "norm_host", "norm_path_template")).drop("norm_host", "norm_path_template")
+    return reports.evidence_by_dimension(stats_, known.join(records, "url_signature"))
 
 
 @query(_BY_DIMENSION)
