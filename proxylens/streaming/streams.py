@@ -26,7 +26,8 @@ def stream_ingest(spark: SparkSession, path: str, vendor: str, out: str, checkpo
     def write(batch: DataFrame, number: int) -> None:
         good, _ = split_rejects(to_canonical(batch, vendor))
         dated = good.withColumn("date", F.to_date("event_time")).withColumn("batch", F.lit(number))
-        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "vendor", "date").parquet(out)
+        # rows of a date meet, so that a batch writes a few files of some size for each date and not one from every task
+        dated.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "vendor", "date").parquet(out)
 
     return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
@@ -43,8 +44,8 @@ def each_lineage_once(spark: SparkSession, landed: str, within: str = "30 days",
 
 
 def write_dated(events: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
-    """A stream of canonical events to Parquet by vendor and date; every batch is committed once."""
-    dated = events.withColumn("date", F.to_date("event_time"))
+    """A stream of canonical events to Parquet by vendor and date; every batch is committed once, and writes one file for each date that it holds."""
+    dated = events.withColumn("date", F.to_date("event_time")).repartition("vendor", "date")
     return dated.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).partitionBy("vendor", "date")
 
 
