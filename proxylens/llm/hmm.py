@@ -34,7 +34,7 @@ STATES, ROUNDS, OWN, TAIL = 12, 5, 1023, 1024
 #: Words whose counts are broadcast; all others are joined.
 FREQUENT = 150_000
 #: Tokens whose texts are handled side by side, tokens whose states are held at once, and cells an octave of the histogram of counts.
-GROUP, SEGMENT, OCTAVE = 1 << 22, 1 << 20, 32
+GROUP, SEGMENT, OCTAVE = 1 << 22, 1 << 18, 32
 SMOOTH = 0.1
 
 

@@ -73,3 +73,10 @@ def test_a_text_asks_once_for_a_word_it_repeats(spark):
         tokens = [*docs.where(f"doc_id = {doc_id}").first().text.encode().split(), b""]
         assert np.isclose(got[doc_id].base_score, sum(np.log10((counts.get(t, 0) + 0.1) / (n + 0.1 * (v + 1))) for t in tokens), rtol=1e-9)
         assert got[doc_id].n_known == sum(t in counts for t in tokens)
+
+
+def test_hmm_segments_hold_little():
+    """The buffers of a pass, which every worker has, stay under 64 MB in double precision (201 MB with segments of 1 << 20)."""
+    from proxylens.llm import hmm
+
+    assert 2 * 8 * hmm.STATES * hmm.SEGMENT < 64 << 20
