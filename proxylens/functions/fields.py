@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from proxylens import config
 
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "dd/MMM/yyyy:HH:mm:ss Z", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
+#: The scheme that a url may begin with, as a pattern.
+SCHEME = "(?:[A-Za-z][A-Za-z0-9+.-]*://)?"
 
 
 def named(columns: Sequence[str], present: Sequence[str]) -> list[Column]:
@@ -24,11 +26,13 @@ def first_nonblank(columns: Sequence[Column]) -> Column:
 def instant(text: Column, tz: str = "UTC") -> Column:
     """A timestamp from ISO text with or without zone, common local forms, or epoch seconds or milliseconds."""
     text = F.trim(text.cast("string"))
+    # the plainest form first: no text has this form and another
+    plain = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), F.to_utc_timestamp(F.try_to_timestamp(text, F.lit(TIME_FORMATS[0])), tz))
     zoned = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ].*(Z|[+-]\d{2}:?\d{2})$"), text.try_cast("timestamp"))
     local = F.coalesce(*[F.try_to_timestamp(F.regexp_replace(text, r"(?<=:\d{2})\.\d+$", ""), F.lit(f)) for f in TIME_FORMATS])
-    number = F.when(text.rlike(r"^\d{9,14}(\.\d+)?$"), text.try_cast("double"))
-    epoch = F.timestamp_millis(F.when(number >= 1e11, number).otherwise(number * 1000).cast("long"))
-    return F.coalesce(zoned, epoch, F.to_utc_timestamp(local, tz))
+    number = text.try_cast("double")
+    epoch = F.when(text.rlike(r"^\d{9,14}(\.\d+)?$"), F.timestamp_millis((number * F.when(number >= 1e11, 1).otherwise(1000)).cast("long")))
+    return F.when(text != "", F.coalesce(plain, zoned, epoch, F.to_utc_timestamp(local, tz)))
 
 
 def parse_event_time(candidates: Sequence[str], present: Sequence[str], tz: str = "UTC") -> Column:
@@ -48,15 +52,13 @@ def nonneg_long(columns: Sequence[Column]) -> Column:
 
 def extract_host(url: Column, compat: bool = False) -> Column:
     """Lower-case host with its port, without user and password; compat drops hosts of urls that have no path."""
-    bare = F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    host = F.lower(F.regexp_replace(F.regexp_extract(bare, r"^([^/?#]*)", 1), r"^.*@", ""))
+    host = F.lower(F.regexp_replace(F.regexp_extract(F.trim(url), rf"^{SCHEME}([^/?#]*)", 1), r"^.*@", ""))
     found = F.nullif(host, F.lit(""))
-    return F.when(bare.contains("/"), found) if compat else found
+    return F.when(F.regexp_replace(F.trim(url), rf"^{SCHEME}", "").contains("/"), found) if compat else found
 
 
 def url_path(url: Column) -> Column:
-    bare = F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    return F.nullif(F.regexp_extract(bare, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.trim(url), rf"^{SCHEME}[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def url_query(url: Column) -> Column:

@@ -28,13 +28,13 @@ def suffix_table(spark: SparkSession, suffixes: Sequence[str] = config.SUFFIXES,
     return raw.select(F.regexp_replace("value", "^(!|\\*\\.)", "").alias("suffix"), kind.alias("kind")).distinct()
 
 
-def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: str = "dest_domain", hot: int | None = None, seen: DataFrame | None = None) -> DataFrame:
+def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: str = "dest_domain", hot: int | None = None, seen: DataFrame | None = None, salt: Sequence[str] | None = None) -> DataFrame:
     """df with the label before the longest public suffix and that suffix; the host where none fits.
 
     Works on distinct hosts, each with its suffixes as keys of an equi-join; rows of a hot host are spread by
     what they hold when they are joined back. The hosts and their domains are written once, so that df is not made
     again for each use of them and a small table of them is broadcast. seen: a frame with the same host column and
-    as many rows of each host, if it takes less to make than df.
+    as many rows of each host, if it takes less to make than df. salt: the columns that tell rows of a hot host apart, if not all.
     """
     counted = (df if seen is None else seen).groupBy(F.col(host_col).alias("_host")).agg(F.count("*").alias("_host_rows"))
     hosts = saved(counted, "hosts")
@@ -47,4 +47,4 @@ def registrable_domain(df: DataFrame, host_col: str, suffixes: DataFrame, out: s
     name = F.when(F.col("n") > F.col("size"), F.array_join(F.slice(labels, F.col("n") - F.col("size"), F.col("size") + 1), ".")).otherwise(F.col("_host"))
     named = hosts.join(best.select("_host", name.alias("_domain")), "_host", "left").select(F.col("_host").alias(host_col), "_host_rows", F.coalesce("_domain", "_host").alias(out))
     rows = df.drop(out)
-    return join_spread(rows, saved(named, "domains"), [host_col], "_host_rows", hashable(rows), hot, hosts.withColumnRenamed("_host", host_col))
+    return join_spread(rows, saved(named, "domains"), [host_col], "_host_rows", salt or hashable(rows), hot, hosts.withColumnRenamed("_host", host_col), written=True)

@@ -21,16 +21,23 @@ BLOCK = 4096
 def lineage_hash(df: DataFrame, columns: list[str], file_col: str) -> DataFrame:
     """df with ingest_lineage_hash of file, sorted items and the ordinal among equal rows of the file: unique and the same on every run. No group of equal rows is one task's."""
     items = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0"))) for c in sorted(columns)]
-    content = df.withColumn("_content", F.sha2(F.concat_ws("\x1f", F.col(file_col), *items), 256))
-    # rows that are equal in all columns are counted before they are shuffled, and dealt out by blocks of their numbers
+    text = F.concat_ws("\x1f", F.col(file_col), *items)
+    # rows that are equal in all columns are counted before they are shuffled, and dealt out by blocks of their numbers;
+    # shuffles carry a short key of the content, which is hashed in full behind them
     every = [f"`{c}`" for c in df.columns]
-    counted = content.groupBy("_content", *every).agg(F.count("*").alias("_rows"))
-    before = F.coalesce(F.sum("_rows").over(Window.partitionBy("_content").orderBy(*every).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = counted.withColumn("_first", before + 1).withColumn("_last", F.col("_first") + F.col("_rows") - 1)
-    few = placed.where(F.col("_rows") <= BLOCK).withColumn("_n", F.explode(F.sequence("_first", "_last")))
-    blocks = placed.where(F.col("_rows") > BLOCK).withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(BLOCK).cast("long"))))
+    counted = df.groupBy(*every).agg(F.count("*").alias("_rows")).withColumn("_key", F.xxhash64(text))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        # those that are dealt out come first, so that their numbers are the same without the others
+        order = Window.partitionBy("_key", "_content").orderBy(F.col("_rows") <= BLOCK, *every)
+        before = F.coalesce(F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        met = rows.repartition("_key").withColumn("_content", F.sha2(text, 256))
+        return met.withColumn("_first", before + 1).withColumn("_last", F.col("_first") + F.col("_rows") - 1)
+
+    few = placed(counted).where(F.col("_rows") <= BLOCK).withColumn("_n", F.explode(F.sequence("_first", "_last")))
+    blocks = placed(counted.where(F.col("_rows") > BLOCK)).withColumn("_from", F.explode(F.sequence("_first", "_last", F.lit(BLOCK).cast("long"))))
     many = blocks.repartition("_content", "_from").withColumn("_n", F.explode(F.sequence("_from", F.least("_last", F.col("_from") + BLOCK - 1)))).drop("_from")
-    numbered = few.unionByName(many).drop("_rows", "_first", "_last")
+    numbered = few.unionByName(many).drop("_rows", "_key", "_first", "_last")
     return numbered.select(*every, F.sha2(F.concat_ws("|", "_content", "_n"), 256).alias("ingest_lineage_hash"))
 
 
@@ -46,15 +53,15 @@ def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffi
     source = lineage_hash(rows, present, "_file") if "ingest_lineage_hash" in wanted else rows.withColumn("ingest_lineage_hash", F.lit(None).cast("string"))
     pick = lambda field: f.named(m.get(field, []), present)
     url = f.first_nonblank(pick("url"))
-    out = source.select(
-        f.parse_event_time(m["time"], present, m["tz"]).alias("event_time"),
+    # what takes parsing comes out of an array of one, so that no filter on it is pushed below and parses it again
+    parsed = F.struct(f.parse_event_time(m["time"], present, m["tz"]).alias("event_time"), f.extract_host(url, compat).alias("dest_host"))
+    rest = source.select(
         F.lit(vendor).alias("vendor"),
         F.lit(m["log_type"]).alias("log_type"),
         f.first_nonblank(pick("user")).alias("user_id"),
         f.first_nonblank(f.named(["user_dept", "department", "dept"], present)).alias("user_dept"),
         f.first_nonblank(pick("device")).alias("device_id"),
         f.first_nonblank(pick("src_ip")).alias("src_ip"),
-        f.extract_host(url, compat).alias("dest_host"),
         url.alias("url_full"),
         f.url_path(url).alias("url_path"),
         f.url_query(url).alias("url_query"),
@@ -71,11 +78,15 @@ def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffi
         F.col("_file").alias("ingest_file"),
         "ingest_lineage_hash",
         (F.col("_error").isNotNull() if "_error" in raw.columns else F.lit(False)).alias("_broken"),
+        F.inline(F.array(parsed)),
     )
+    out = rest.select(*[c for c in schemas.COLUMNS if c != "dest_domain"], "_broken")
     if "dest_domain" in wanted:
         # hosts are counted in the rows as they come, before they are numbered
         seen = raw.select(f.extract_host(url, compat).alias("dest_host"))
-        out = registrable_domain(out, "dest_host", suffixes if suffixes is not None else suffix_table(raw.sparkSession), seen=seen)
+        # a lineage is a row's own; a hash of all columns makes the stage's code too long to be compiled
+        salt = ["ingest_lineage_hash"] if "ingest_lineage_hash" in wanted else None
+        out = registrable_domain(out, "dest_host", suffixes if suffixes is not None else suffix_table(raw.sparkSession), seen=seen, salt=salt)
     reason = F.coalesce(F.when(F.col("_broken"), F.lit(BROKEN)), *[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in REQUIRED])
     return out.select(*wanted, reason.alias("reject_reason"))
 

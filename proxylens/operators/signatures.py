@@ -72,7 +72,7 @@ def punycode_hosts(df: DataFrame, host_col: str) -> DataFrame:
 def normalize_urls(df: DataFrame, url_col: str = "url_full", keep_keys: Sequence[str] = (), idn: bool = True, hot: int | None = None) -> DataFrame:
     """df with the columns of normalized_urls; each distinct url is normalised once and written, and rows of a hot url are spread by what they hold."""
     urls = saved(df.groupBy(url_col).agg(F.count("*").alias("_url_rows")), "urls")
-    return join_spread(df, saved(normalized_urls(urls, url_col, keep_keys, idn), "normal-urls"), [url_col], "_url_rows", hashable(df), hot, urls)
+    return join_spread(df, saved(normalized_urls(urls, url_col, keep_keys, idn), "normal-urls"), [url_col], "_url_rows", hashable(df), hot, urls, written=True)
 
 
 def normalized_urls(df: DataFrame, url_col: str, keep_keys: Sequence[str] = (), idn: bool = True) -> DataFrame:
@@ -142,7 +142,7 @@ def sign_events(df: DataFrame, suffixes: DataFrame, url_col: str = "url_full", k
     """df with normal urls, dest_domain and url_signature: one dictionary of the distinct urls, written and joined back once; rows of a hot url are spread by lineage."""
     urls = saved(df.groupBy(url_col).agg(F.count("*").alias("url_rows")), "urls")
     known = saved(url_dictionary(urls, suffixes, url_col, keep_keys, key_params), "url-dictionary")
-    return event_parts(join_spread(df, known, [url_col], "url_rows", ["ingest_lineage_hash"], counts=urls), version)
+    return event_parts(join_spread(df, known, [url_col], "url_rows", ["ingest_lineage_hash"], counts=urls, written=True), version)
 
 
 def signature_groups(df: DataFrame) -> DataFrame:
