@@ -84,7 +84,7 @@ def to_canonical(raw: DataFrame, vendor: str, mapping: dict | None = None, suffi
     if "dest_domain" in wanted:
         # hosts are counted in the rows as they come, before they are numbered
         seen = raw.select(f.extract_host(url, compat).alias("dest_host"))
-        # a lineage is a row's own; a hash of all columns makes the stage's code too long to be compiled
+        # a lineage is a row's own, so that no other column has to be hashed to spread rows
         salt = ["ingest_lineage_hash"] if "ingest_lineage_hash" in wanted else None
         out = registrable_domain(out, "dest_host", suffixes if suffixes is not None else suffix_table(raw.sparkSession), seen=seen, salt=salt)
     reason = F.coalesce(F.when(F.col("_broken"), F.lit(BROKEN)), *[F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in REQUIRED])
